@@ -12,7 +12,7 @@ __all__ = [
     "https", "strip_invisible", "clean_time_range", "drop_first_char",
     "section_tags_to_bar", "substring_count", "strip_trailing_punct",
     "token_suffix_match", "after_first_dot", "base64_text", "join_nonempty",
-    "strip_currency", "label_to_int", "truncate", "first_truthy", "first_positive",
+    "strip_currency", "label_to_int", "truncate", "first_truthy", "first_positive", "id_url_template",
     "INVISIBLE_CHARS", "TRUE_LABELS", "FALSE_LABELS", "FOOD_TRUE_LABELS",
 ]
 
@@ -172,3 +172,29 @@ def first_truthy(*cols) -> Column:
 def first_positive(*cols) -> Column:
     """Python ``a or b`` on numbers: NULL and 0 count as missing."""
     return F.coalesce(*[F.nullif(col(c), F.lit(0)) for c in cols])
+
+
+def id_url_template(id_col, template: str, ext=None) -> Column:
+    """Fill a URL template from single characters of an id text.
+
+    ``{3}`` is the 0-based 4th character of the id, ``{id}`` the whole id and
+    ``{ext}`` the ``ext`` column, e.g.
+    ``'https://img.example.com/{7}/{6}/{4}{5}/{2}{3}/onair{id}.{ext}'``.
+    """
+    import re
+    v = col(id_col).cast("string")
+    parts: list[Column] = []
+    pos = 0
+    for m in re.finditer(r"\{(\d+|id|ext)\}", template):
+        if m.start() > pos:
+            parts.append(F.lit(template[pos:m.start()]))
+        tok = m.group(1)
+        if tok == "id":
+            parts.append(v)
+        elif tok == "ext":
+            parts.append(col(ext) if ext is not None else F.lit(""))
+        else:
+            parts.append(F.substring(v, int(tok) + 1, 1))
+        pos = m.end()
+    parts.append(F.lit(template[pos:]))
+    return F.concat(*parts)
