@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions._util import col
 
-__all__ = ["URL_RE", "url_parts", "url_param", "url_absolutise", "default_port"]
+__all__ = ["URL_RE", "url_parts", "url_param", "url_absolutise", "default_port", "keep_image_url"]
 
 # scheme, user, password, host, port, path, query, fragment
 URL_RE = (r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://(?:([^:@/?#]*)(?::([^@/?#]*))?@)?"
@@ -77,3 +77,9 @@ def url_absolutise(u, base) -> Column:
             .when(u.startswith("?"), F.concat(no_query, u))
             .when(u.startswith("#"), F.concat(no_frag, u))
             .otherwise(F.concat(directory, F.regexp_replace(u, r"^\./", ""))))
+
+
+def keep_image_url(u) -> Column:
+    """Image URL filter: non-empty, not a '.gif', not an inline 'data:' URI."""
+    v = col(u)
+    return v.isNotNull() & (v != "") & ~F.lower(v).endswith(".gif") & ~v.startswith("data:")
