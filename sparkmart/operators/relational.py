@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "first_wins", "insert_ignore", "insert_ignore_table", "anti_not_in", "delete_not_in",
     "delete_in", "cascade_delete", "unseen", "lookup_first", "with_surrogate_key",
-    "apply_defaults", "nulls_for_nan", "sized_broadcast", "keys_distinct",
+    "apply_defaults", "nulls_for_nan", "sized_broadcast", "keys_distinct", "update_from",
 ]
 
 
@@ -252,3 +252,16 @@ def nulls_for_nan(df: DataFrame) -> DataFrame:
     kinds = dict(df.dtypes)
     return df.select(*[F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)).alias(c)
                        if kinds[c] in ("double", "float") else F.col(c) for c in df.columns])
+
+
+def update_from(target: DataFrame, updates: DataFrame, key: str | Sequence[str],
+                assignments: dict[str, str]) -> DataFrame:
+    """``UPDATE target SET col = updates.val WHERE key matches``: a left join
+    to the (key-unique) updates; unmatched rows and NULL values keep the old
+    value. ``assignments`` maps target column -> updates column."""
+    key = _cols(key)
+    u = updates.select(*key, *[F.col(v).alias(f"_u_{c}") for c, v in assignments.items()])
+    j = target.join(u, on=key, how="left")
+    for c in assignments:
+        j = j.withColumn(c, F.coalesce(F.col(f"_u_{c}"), F.col(c)))
+    return j.select(*target.columns)
