@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmart.session import spread
+
 NODE_SCHEMA = ("page_id long, pos int, tag string, cls string, attrs map<string,string>, "
                "text string, scope string, scope_pos int, parent_cls string")
 
@@ -92,11 +94,18 @@ class _NodeParser(HTMLParser):
 
 
 def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                scopes: Sequence[str] = (), keep_tags: Sequence[str] | None = None) -> DataFrame:
+                scopes: Sequence[str] = (), keep_tags: Sequence[str] | None = None,
+                materialize: bool = True) -> DataFrame:
     """Node table of every page (see module doc). ``scopes`` are simple
     selectors ('tag', '.class' or 'tag.class'); ``keep_tags`` limits the
     emitted elements (scope elements are always emitted). ``text`` follows
-    "get_text(strip=True)": stripped text pieces of the subtree, joined."""
+    "get_text(strip=True)": stripped text pieces of the subtree, joined.
+
+    Jobs read the node table several times (fields, scopes, page attributes),
+    so by default it is written once as a reliable checkpoint into the
+    session's shared checkpoint folder: the Python parse runs exactly once
+    per page, and a lost executor re-reads the checkpoint instead of
+    re-parsing."""
     keep = set(keep_tags) if keep_tags else None
     scopes = list(scopes)
 
@@ -117,7 +126,9 @@ def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
             yield pd.DataFrame(out, columns=cols).astype({"pos": "int32"}) if out else pd.DataFrame(
                 {c: pd.Series(dtype="object") for c in cols}).astype({"page_id": "int64", "pos": "int32"})
 
-    return pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col)).mapInPandas(run, NODE_SCHEMA)
+    src = spread(pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col)))
+    nodes = src.mapInPandas(run, NODE_SCHEMA)
+    return nodes.checkpoint(eager=True) if materialize else nodes
 
 
 def attr(name: str) -> Column:

@@ -63,3 +63,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint location for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/sparkmart/{name}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Spread CPU-heavy (Python) work over the cluster: when ``df`` has fewer
+    partitions than the default parallelism (small inputs stored as one
+    file / row group), round-robin repartition it; otherwise leave the
+    existing partitioning untouched (no extra shuffle at scale)."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover
+        return df
+    return df.repartition(target) if n < target else df
