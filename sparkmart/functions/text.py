@@ -103,12 +103,13 @@ def substring_count(c, needle: str) -> Column:
     return ((F.length(v) - F.length(F.replace(v, F.lit(needle), F.lit("")))) / n).cast("int")
 
 
-# Punctuation stripped from the end of a token before a suffix test.
-_TRAIL = ".,!?;:()[]{}\"'"
+# Fixed value: characters stripped from the end of a token before a suffix test.
+_TRAIL = ".,)/)]}»”’\"'"
 
 
 def strip_trailing_punct(c) -> Column:
-    return F.regexp_replace(col(c), "[" + "".join("\\" + ch for ch in _TRAIL) + "]+$", "")
+    import re
+    return F.regexp_replace(col(c), "[" + "".join(re.escape(ch) for ch in sorted(set(_TRAIL))) + "]+$", "")
 
 
 def token_suffix_match(c, suffixes: list[str]) -> Column:
@@ -119,8 +120,7 @@ def token_suffix_match(c, suffixes: list[str]) -> Column:
     sfx = F.array(*[F.lit(s) for s in suffixes])
     toks = F.split(normalize_ws(c), " ")
     return F.coalesce(F.exists(toks, lambda t: F.exists(
-        sfx, lambda s: (F.length(strip_trailing_punct(t)) > 0) & strip_trailing_punct(t).endswith(s))),
-        F.lit(False))
+        sfx, lambda s: strip_trailing_punct(t).endswith(s))), F.lit(False))
 
 
 def after_first_dot(c) -> Column:
