@@ -1,7 +1,62 @@
-"""Stand-in queries."""
+"""Stand-ins for the embedding jobs."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from sparkmart.plans import embed as E
+from sparkmart.session import scratch_path
+from sparkmart.sources.files import write_vectors
 from sparkmart.standins import Tables, register
+
+
+@register("emb_encode", oracle="SELECT p_partkey, 384 AS dim, 1.0 AS norm FROM part")
+def q_emb_encode(spark, d):
+    p = Tables(spark, d).part
+    v = E.hashed_char_encoder()(p.select("p_partkey", "p_name"), "p_name")
+    return v.select("p_partkey", F.size("vector").alias("dim"), F.round(E.l2_norm(F.col("vector")), 6).alias("norm"))
+
+
+@register("emb_l2", oracle="""
+SELECT vec_id, len(embedding) AS dim,
+       round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm
+FROM embeddings
+""")
+def q_emb_l2(spark, d):
+    e = Tables(spark, d).embeddings
+    return e.select("vec_id", F.size("embedding").alias("dim"), F.round(E.l2_norm(F.col("embedding")), 6).alias("norm"))
+
+
+@register("emb_incremental", oracle="""
+SELECT doc_id, 384 AS dim, 1.0 AS norm FROM labels
+WHERE doc_id NOT IN (SELECT vec_id FROM embeddings WHERE vec_id % 2 = 0)
+""")
+def q_emb_incremental(spark, d):
+    t = Tables(spark, d)
+    products = t.labels.join(t.documents.select("doc_id", F.substring("text", 1, 120).alias("name")), "doc_id")
+    seen = t.embeddings.filter(F.col("vec_id") % 2 == 0)
+    new = E.embed_new(products, seen, "doc_id", "name", vector_key="vec_id")
+    return new.select("doc_id", F.size("vector").alias("dim"), F.round(E.l2_norm(F.col("vector")), 6).alias("norm"))
+
+
+@register("emb_vectors", oracle="""
+SELECT vec_id, vec_id % 10 <> 3 AS accepted FROM embeddings
+""")
+def q_emb_vectors(spark, d):
+    e = Tables(spark, d).embeddings
+    v = e.select("vec_id", F.when(F.col("vec_id") % 10 == 3, F.slice("embedding", 1, 10)).otherwise(F.col("embedding"))
+                 .alias("vector"))
+    path = scratch_path(spark, f"emb_vectors-{uuid.uuid4().hex[:12]}")
+    rejected = write_vectors(v, path, dim=64).select("vec_id").checkpoint(eager=True)
+    stored = spark.read.parquet(path).select("vec_id", F.lit(True).alias("accepted"))
+    return stored.unionByName(rejected.select("vec_id", F.lit(False).alias("accepted")))
+
+
+@register("emb_orphans", oracle="""
+SELECT vec_id, label FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)
+""")
+def q_emb_orphans(spark, d):
+    t = Tables(spark, d)
+    return E.drop_orphans(t.embeddings.select("vec_id", "label"), t.labels, "vec_id", "doc_id")

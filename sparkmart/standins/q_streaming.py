@@ -1,7 +1,49 @@
-"""Stand-in queries."""
+"""Stand-ins for the Structured Streaming jobs."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from sparkmart.plans import classify as C
+from sparkmart.session import scratch_path
 from sparkmart.standins import Tables, register
+from sparkmart.standins.q_text import FINISHED, INGREDIENT, _NORM, _RULE_SQL
+from sparkmart.streaming import incremental as S
+
+
+def _dirs(spark, name):
+    base = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{base}/source", f"{base}/target", f"{base}/checkpoint"
+
+
+@register("stm_incremental", oracle="""
+SELECT event_id, ts, user_id, event_type, value FROM events
+""")
+def q_stm_incremental(spark, d):
+    ev = Tables(spark, d).events.drop("props")
+    src, tgt, ckpt = _dirs(spark, "stm_incremental")
+    # three arrival files; the second repeats part of the first (re-sent rows)
+    ev.filter(F.col("event_id") % 3 == 0).write.mode("append").parquet(src)
+    ev.filter((F.col("event_id") % 3 == 1) | (F.col("event_id") % 9 == 0)).write.mode("append").parquet(src)
+    ev.filter(F.col("event_id") % 3 == 2).write.mode("append").parquet(src)
+    S.incremental_load(spark, src, ev.schema, tgt, ckpt, "event_id", order_by=["ts", "event_id"],
+                       max_files_per_trigger=1)
+    return S.read_target(spark, tgt)
+
+
+@register("stm_score", oracle=f"""
+WITH n AS (SELECT doc_id, {_NORM} AS s FROM documents), r AS (SELECT doc_id, {_RULE_SQL} AS rl FROM n)
+SELECT doc_id, coalesce(CASE rl WHEN '식재료' THEN 1 WHEN '완제품' THEN 0 END, 0) AS pred,
+       CASE WHEN rl IS NULL THEN 0.5 ELSE 1.0 END AS conf FROM r
+""")
+def q_stm_score(spark, d):
+    docs = Tables(spark, d).documents.select("doc_id", "text")
+    src, tgt, ckpt = _dirs(spark, "stm_score")
+    docs.filter(F.col("doc_id") % 2 == 0).write.mode("append").parquet(src)
+    docs.filter(F.col("doc_id") % 2 == 1).write.mode("append").parquet(src)
+    scorer = C.rule_scorer("text", FINISHED, INGREDIENT)
+    S.stream_score(spark, src, docs.schema, tgt, ckpt, lambda b: scorer(b).select("doc_id", "pred", "conf"),
+                   max_files_per_trigger=1)
+    return S.read_target(spark, tgt)
