@@ -47,3 +47,109 @@ FROM g)"""
 def q_kok_price_delta(spark, d):
     from sparkmart.standins.frames import kok_prices
     return kok.price_delta(kok_prices(Tables(spark, d)), arrival=LINE_ORDER)
+
+
+# ------------------------------------------------------------------ composite runs
+from sparkmart.operators import relational as R  # noqa: E402
+from sparkmart.plans import runs  # noqa: E402
+from sparkmart.standins.frames import kok_prices  # noqa: E402
+
+AS_OF = "2024-01-15"
+
+
+def _hs_inputs(spark, d):
+    from sparkmart.standins.q_hs import _raw_schedule
+    t = Tables(spark, d)
+    raw_list = _raw_schedule(t)
+    clean_list, _ = __import__("sparkmart.plans.hs", fromlist=["hs"]).clean_schedule(
+        raw_list.filter(F.col("live_id") % 4 == 0))
+    info = t.region.select((F.col("r_regionkey") + 1).cast("int").alias("homeshopping_id"),
+                           F.col("r_name").alias("homeshopping_name"))
+    p = t.part
+    raw_product = p.select(F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("store_name"),
+                           F.concat(F.lit("₩"), F.round(F.col("p_retailprice") * 10).cast("bigint").cast("string")).alias("sale_price"),
+                           F.concat(F.col("p_size").cast("string"), F.lit("%")).alias("dc_rate"),
+                           F.round(F.col("p_retailprice") * 9).cast("bigint").cast("string").alias("dc_price"))
+    clean_product = raw_product.filter(F.col("product_id") % 3 == 0).select(
+        "product_id", "store_name", digits_or_zero_("sale_price"), digits_or_zero_("dc_rate", "int"), digits_or_zero_("dc_price"))
+    li = t.lineitem.filter(F.col("l_partkey") < 400)
+    detail = R.with_surrogate_key(
+        li.select(F.col("l_partkey").alias("product_id"), F.concat(F.lit("col"), F.col("l_linenumber").cast("string")).alias("detail_col"),
+                  F.col("l_returnflag").alias("detail_val"), *LINE_ORDER), "detail_id", LINE_ORDER).drop(*LINE_ORDER)
+    image = R.with_surrogate_key(
+        li.select(F.col("l_partkey").alias("product_id"), F.col("l_linenumber").alias("sort_order"),
+                  F.concat(F.col("l_orderkey").cast("string"), F.when(F.col("l_returnflag") == "R", F.lit("/format/webp"))
+                           .otherwise(F.lit(".jpg"))).alias("img_url"), *LINE_ORDER), "img_id", LINE_ORDER).drop(*LINE_ORDER)
+    raw = {"info": info, "list": raw_list, "product": raw_product,
+           "detail": detail.select("detail_id", "product_id", "detail_col", "detail_val"),
+           "image": image.select("img_id", "product_id", "sort_order", "img_url"),
+           "current": raw_list.filter(F.col("live_id") % 3 != 0).select("homeshopping_id", "live_date", "live_time", "product_id")}
+    clean = {"info": info.filter(F.col("homeshopping_id") <= 2), "list": clean_list, "product": clean_product,
+             "detail": raw["detail"].filter(F.col("product_id") % 5 == 0),
+             "image": raw["image"].filter(F.col("product_id") % 5 == 0)}
+    return raw, clean
+
+
+def digits_or_zero_(c, cast="bigint"):
+    from sparkmart.functions.text import digits_or_zero
+    return digits_or_zero(c).cast(cast).alias(c)
+
+
+@register("hs_preprocess")
+def q_hs_preprocess(spark, d):
+    raw, clean = _hs_inputs(spark, d)
+    out = runs.hs_preprocess(raw, clean, AS_OF)
+    from sparkmart.operators.aggregates import row_counts
+    return row_counts(out)
+
+
+def _kok_inputs(spark, d):
+    t = Tables(spark, d)
+    prices = R.with_surrogate_key(kok_prices(t), "kok_price_id", LINE_ORDER)
+    p = t.part
+    raw_product = p.select(F.col("p_partkey").cast("string").alias("kok_product_id"), F.col("p_brand").alias("kok_store_name"),
+                           F.concat("p_brand", F.lit(" "), "p_name").alias("kok_product_name"),
+                           F.concat(F.round(F.col("p_retailprice") * 10).cast("bigint").cast("string"), F.lit("원")).alias("kok_product_price"))
+    spec = [("kok_product_id", "kok_product_id", "bigint"), ("kok_store_name", "kok_store_name", "string"),
+            ("kok_product_name", "kok_product_name", "string"), ("kok_product_price", "kok_product_price", "num")]
+    clean_product = (raw_product.filter(F.col("kok_product_id").cast("bigint") % 4 == 0)
+                     .select(F.col("kok_product_id").cast("bigint").alias("kok_product_id"), "kok_store_name", "kok_product_name",
+                             F.lit(0.0).alias("kok_product_price")))
+    li = t.lineitem
+    image = R.with_surrogate_key(li.select(F.col("l_partkey").alias("kok_product_id"),
+                                           F.concat(F.lit("/img/"), F.col("l_orderkey").cast("string")).alias("kok_img_url"),
+                                           *LINE_ORDER), "kok_img_id", LINE_ORDER).drop(*LINE_ORDER)
+    detail = R.with_surrogate_key(li.filter(F.col("l_linenumber") <= 3).select(
+        F.col("l_partkey").alias("kok_product_id"), F.col("l_linestatus").alias("kok_detail_val"), *LINE_ORDER),
+        "kok_detail_id", LINE_ORDER).drop(*LINE_ORDER)
+    conv = t.conversations
+    review = conv.select(F.col("conv_id").alias("kok_product_id"), (F.col("conv_id") * 1000 + F.col("turn")).alias("kok_review_id"),
+                         F.col("role").alias("kok_nickname"), F.concat(F.lit("2024-01-"), (F.col("turn") % 28 + 1).cast("string")).alias("kok_review_date"))
+    raw = {"price": prices.select(*runs.PRICE_COLUMNS), "product": raw_product, "image": image, "detail": detail, "review": review}
+    clean = {"product": clean_product, "image": image.filter(F.lit(False)), "detail": detail.filter(F.lit(False)),
+             "review": review.filter(F.lit(False))}
+    return raw, clean, spec
+
+
+@register("kok_preprocess")
+def q_kok_preprocess(spark, d):
+    raw, clean, spec = _kok_inputs(spark, d)
+    out = runs.kok_preprocess(raw, clean, spec)
+    from sparkmart.operators.aggregates import row_counts
+    return row_counts(out)
+
+
+@register("etl_run_audit")
+def q_etl_run_audit(spark, d):
+    hs_raw, hs_clean = _hs_inputs(spark, d)
+    kok_raw, kok_clean, spec = _kok_inputs(spark, d)
+    before = {f"hs.{k}": v for k, v in hs_clean.items()}
+    before.update({f"kok.{k}": v for k, v in kok_clean.items()})
+
+    def broken():
+        raise ValueError("stage failure is isolated")
+
+    stages = [("hs_preprocess", lambda: runs.hs_preprocess(hs_raw, hs_clean, AS_OF)),
+              ("kok_preprocess", lambda: runs.kok_preprocess(kok_raw, kok_clean, spec)),
+              ("failing_stage", broken)]
+    return runs.run_stages(spark, stages, before).select("stage", "status", "table_name", "before", "after", "added")
