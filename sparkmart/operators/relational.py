@@ -72,7 +72,7 @@ def keys_distinct(df: DataFrame, keys: Sequence[str], names: Sequence[str] | Non
 
 def _anti_existing(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     ref = keys_distinct(existing, keys)
-    return batch.join(ref, on=list(keys), how="left_anti")
+    return batch.join(ref, on=list(keys), how="left_anti").select(*batch.columns)
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, pk: str | Sequence[str],
@@ -102,7 +102,7 @@ def insert_ignore(target: DataFrame, batch: DataFrame, pk: str | Sequence[str],
         rows = rows.filter(null_fk).unionByName(rows.filter(~null_fk).join(ref, child_cols, "left_semi"))
     for key in [pk, *[_cols(u) for u in uniques]]:
         rows = first_wins(_anti_existing(rows, target, key), key, order_by)
-    return rows
+    return rows.select(*batch.columns)
 
 
 def insert_ignore_table(target: DataFrame, batch: DataFrame, pk, **kw) -> DataFrame:
