@@ -343,3 +343,16 @@ def q_url_param(spark, d):
     t = Tables(spark, d).pages
     return t.select("page_id", SF.url_param("url", "page").alias("page"), SF.url_param("url", "ref").alias("ref"),
                     SF.url_param("url", "utm_source").alias("utm_source"))
+
+
+@register("str_to_num_sql", oracle=f"""
+SELECT o_orderkey, o_orderpriority, {str_to_num_duck("o_orderpriority || '.' || CAST(o_custkey AS VARCHAR)")} AS num
+FROM orders
+""")
+def q_str_to_num_sql(spark, d):
+    """The stored SQL function form: STR_TO_NUM registered for the session
+    (created if absent) and called from Spark SQL over a temp view."""
+    SF.register_str_to_num(spark)
+    Tables(spark, d).orders.createOrReplaceTempView("sm_orders")
+    return spark.sql("SELECT o_orderkey, o_orderpriority, "
+                     "STR_TO_NUM(o_orderpriority || '.' || CAST(o_custkey AS STRING)) AS num FROM sm_orders")
