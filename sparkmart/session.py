@@ -35,6 +35,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -78,3 +79,37 @@ def spread(df, min_partitions: int | None = None):
     except Exception:  # pragma: no cover
         return df
     return df.repartition(target) if n < target else df
+
+
+def ship_package(spark) -> None:
+    """Make ``sparkmart`` importable in the executors' Python workers
+    (Pandas UDFs, ``mapInPandas``) by zipping the package once per
+    SparkContext and adding it with ``addPyFile`` - the runtime form of
+    ``--py-files``. The zip is written under the shared checkpoint folder
+    when that is a local / mounted path."""
+    import io
+    import os
+    import uuid
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_sparkmart_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.join("sparkmart", os.path.relpath(full, pkg)))
+    target = scratch_path(spark, "pyfiles")
+    if "://" in target and not target.startswith("file:"):
+        target = tempfile.mkdtemp(prefix="sparkmart-pyfiles-")
+    target = target.replace("file:", "", 1) if target.startswith("file:") else target
+    os.makedirs(target, exist_ok=True)
+    path = os.path.join(target, f"sparkmart-{uuid.uuid4().hex[:8]}.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    sc._sparkmart_shipped = True
