@@ -89,13 +89,13 @@ def q_agg_distinct(spark, d):
 
 @register("agg_kv_pivot", oracle="""
 SELECT conv_id,
-       arg_max(substr(text, 1, 50), turn) FILTER (WHERE role = 'user') AS "user",
-       arg_max(substr(text, 1, 50), turn) FILTER (WHERE role = 'assistant') AS assistant,
-       arg_max(substr(text, 1, 50), turn) FILTER (WHERE role = 'system') AS system
+       arg_max(text, turn) FILTER (WHERE role = 'user') AS "user",
+       arg_max(text, turn) FILTER (WHERE role = 'assistant') AS assistant,
+       arg_max(text, turn) FILTER (WHERE role = 'system') AS system
 FROM conversations GROUP BY conv_id
 """)
 def q_agg_kv_pivot(spark, d):
-    c = Tables(spark, d).conversations.withColumn("v", F.substring("text", 1, 50))
+    c = Tables(spark, d).conversations.withColumn("v", F.col("text"))
     return A.kv_pivot(c, ["conv_id"], "role", "v", "turn", ["user", "assistant", "system"])
 
 

@@ -30,15 +30,15 @@ def q_emb_l2(spark, d):
 
 
 @register("emb_incremental", oracle="""
-SELECT doc_id, 384 AS dim, 1.0 AS norm FROM labels
-WHERE doc_id NOT IN (SELECT vec_id FROM embeddings WHERE vec_id % 2 = 0)
+SELECT p_partkey, 384 AS dim, 1.0 AS norm FROM part
+WHERE p_partkey NOT IN (SELECT vec_id FROM embeddings WHERE vec_id % 2 = 0)
 """)
 def q_emb_incremental(spark, d):
     t = Tables(spark, d)
-    products = t.labels.join(t.documents.select("doc_id", F.substring("text", 1, 120).alias("name")), "doc_id")
+    products = t.part.select("p_partkey", "p_name")
     seen = t.embeddings.filter(F.col("vec_id") % 2 == 0)
-    new = E.embed_new(products, seen, "doc_id", "name", vector_key="vec_id")
-    return new.select("doc_id", F.size("vector").alias("dim"), F.round(E.l2_norm(F.col("vector")), 6).alias("norm"))
+    new = E.embed_new(products, seen, "p_partkey", "p_name", vector_key="vec_id")
+    return new.select("p_partkey", F.size("vector").alias("dim"), F.round(E.l2_norm(F.col("vector")), 6).alias("norm"))
 
 
 @register("emb_vectors", oracle="""

@@ -72,7 +72,7 @@ def _hs_inputs(spark, d):
                            F.round(F.col("p_retailprice") * 9).cast("bigint").cast("string").alias("dc_price"))
     clean_product = raw_product.filter(F.col("product_id") % 3 == 0).select(
         "product_id", "store_name", digits_or_zero_("sale_price"), digits_or_zero_("dc_rate", "int"), digits_or_zero_("dc_price"))
-    li = t.lineitem.filter(F.col("l_partkey") < 400)
+    li = t.lineitem
     detail = R.with_surrogate_key(
         li.select(F.col("l_partkey").alias("product_id"), F.concat(F.lit("col"), F.col("l_linenumber").cast("string")).alias("detail_col"),
                   F.col("l_returnflag").alias("detail_val"), *LINE_ORDER), "detail_id", LINE_ORDER).drop(*LINE_ORDER)

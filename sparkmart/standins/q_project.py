@@ -62,14 +62,14 @@ def q_prj_first_truthy(spark, d):
 
 
 @register("prj_blank_to_null", oracle="""
-WITH c AS (SELECT conv_id, turn, CASE turn % 4 WHEN 1 THEN '' WHEN 2 THEN ' NaN ' ELSE substr(text, 1, 30) END AS t
+WITH c AS (SELECT conv_id, turn, CASE turn % 4 WHEN 1 THEN '' WHEN 2 THEN ' NaN ' ELSE text END AS t
            FROM conversations)
 SELECT conv_id, turn, CASE WHEN lower(trim(t)) IN ('', 'nan') THEN NULL ELSE t END AS text FROM c
 """)
 def q_prj_blank_to_null(spark, d):
     c = Tables(spark, d).conversations
     t = (F.when(F.col("turn") % 4 == 1, F.lit("")).when(F.col("turn") % 4 == 2, F.lit(" NaN "))
-         .otherwise(F.substring("text", 1, 30)))
+         .otherwise(F.col("text")))
     return c.select("conv_id", "turn", SF.blank_to_null(t).alias("text"))
 
 

@@ -137,7 +137,7 @@ def q_str_base64(spark, d):
 
 @register("str_join", oracle="""
 SELECT conv_id, turn,
-       array_to_string(list_filter([role, CASE WHEN turn % 3 = 0 THEN '' ELSE substr(text, 1, 40) END,
+       array_to_string(list_filter([role, CASE WHEN turn % 3 = 0 THEN '' ELSE text END,
                                     CAST(turn AS VARCHAR), CASE WHEN turn % 2 = 0 THEN NULL ELSE 'odd' END],
                                    lambda x: x IS NOT NULL AND trim(x) <> ''), ', ') AS joined
 FROM conversations
@@ -145,7 +145,7 @@ FROM conversations
 def q_str_join(spark, d):
     t = Tables(spark, d).conversations
     arr = F.array(F.col("role"),
-                  F.when(F.col("turn") % 3 == 0, F.lit("")).otherwise(F.substring("text", 1, 40)),
+                  F.when(F.col("turn") % 3 == 0, F.lit("")).otherwise(F.col("text")),
                   F.col("turn").cast("string"),
                   F.when(F.col("turn") % 2 == 0, F.lit(None).cast("string")).otherwise(F.lit("odd")))
     return t.select("conv_id", "turn", SF.join_nonempty(arr, ", ").alias("joined"))
