@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.text import normalize_ws, token_suffix_match
@@ -121,5 +121,8 @@ def tfidf(terms: DataFrame, id_col: str, n_docs: Column, min_df: int = 1,
         df_ = df_.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
     vocab = df_.select("term", "df", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1).alias("idf"))
     w = tf.join(vocab, "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return w.join(norm, id_col).select(id_col, "term", "tf", "df", "idf", (F.col("raw") / F.col("norm")).alias("weight"))
+    # per-document norm as a window: one shuffle by document (a document's
+    # terms are bounded by its length), and a following per-document
+    # aggregate reuses that partitioning
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", "tf", "df", "idf", (F.col("raw") / norm).alias("weight"))
