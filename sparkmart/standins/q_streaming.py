@@ -22,7 +22,10 @@ def _dirs(spark, name):
 SELECT event_id, ts, user_id, event_type, value FROM events
 """)
 def q_stm_incremental(spark, d):
-    ev = Tables(spark, d).events.drop("props")
+    # arrivals are simulated from the table as stored (one file per arrival
+    # here; a cluster-sized arrival is many files and would set
+    # maxFilesPerTrigger accordingly)
+    ev = spark.read.parquet(f"{d.rstrip('/')}/events.parquet").drop("props")
     src, tgt, ckpt = _dirs(spark, "stm_incremental")
     # three arrival files; the second repeats part of the first (re-sent rows)
     ev.filter(F.col("event_id") % 3 == 0).write.mode("append").parquet(src)
@@ -39,7 +42,7 @@ SELECT doc_id, coalesce(CASE rl WHEN '식재료' THEN 1 WHEN '완제품' THEN 0
        CASE WHEN rl IS NULL THEN 0.5 ELSE 1.0 END AS conf FROM r
 """)
 def q_stm_score(spark, d):
-    docs = Tables(spark, d).documents.select("doc_id", "text")
+    docs = spark.read.parquet(f"{d.rstrip('/')}/documents.parquet").select("doc_id", "text")
     src, tgt, ckpt = _dirs(spark, "stm_score")
     docs.filter(F.col("doc_id") % 2 == 0).write.mode("append").parquet(src)
     docs.filter(F.col("doc_id") % 2 == 1).write.mode("append").parquet(src)
