@@ -131,7 +131,27 @@ def _kok_inputs(spark, d):
     return raw, clean, spec
 
 
-@register("kok_preprocess")
+@register("kok_preprocess", oracle="""
+WITH prices AS (SELECT l_partkey AS pid FROM lineitem JOIN part ON l_partkey = p_partkey),
+product AS (SELECT p_partkey AS pid FROM part),
+image AS (SELECT l_partkey AS pid FROM lineitem WHERE l_partkey IN (SELECT pid FROM product)),
+detail AS (SELECT l_partkey AS pid FROM lineitem WHERE l_linenumber <= 3 AND l_partkey IN (SELECT pid FROM product)),
+review0 AS (SELECT conv_id AS pid, conv_id * 1000 + turn AS rid, role AS nick,
+                   '2024-01-' || CAST(turn % 28 + 1 AS VARCHAR) AS dt
+            FROM conversations WHERE conv_id IN (SELECT pid FROM product)),
+review AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nick, dt ORDER BY rid) AS rn FROM review0) WHERE rn = 1),
+d1 AS (SELECT * FROM detail WHERE NOT coalesce(pid NOT IN (SELECT pid FROM image), false)),
+i1 AS (SELECT * FROM image WHERE NOT coalesce(pid NOT IN (SELECT pid FROM d1), false)),
+gone AS (SELECT pid FROM product WHERE pid NOT IN (SELECT pid FROM d1)
+         INTERSECT SELECT pid FROM product WHERE pid NOT IN (SELECT pid FROM i1)),
+p1 AS (SELECT * FROM product WHERE pid NOT IN (SELECT pid FROM gone)),
+pr1 AS (SELECT * FROM prices WHERE NOT coalesce(pid NOT IN (SELECT pid FROM p1), false))
+SELECT 'price' AS table_name, count(*) AS n_rows FROM pr1
+UNION ALL SELECT 'product', count(*) FROM p1
+UNION ALL SELECT 'detail', count(*) FROM d1
+UNION ALL SELECT 'image', count(*) FROM i1
+UNION ALL SELECT 'review', count(*) FROM review WHERE pid IN (SELECT pid FROM p1)
+""")
 def q_kok_preprocess(spark, d):
     raw, clean, spec = _kok_inputs(spark, d)
     out = runs.kok_preprocess(raw, clean, spec)
