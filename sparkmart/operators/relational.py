@@ -213,14 +213,20 @@ def lookup_first(df: DataFrame, dim: DataFrame, on: str | Sequence[str], order_b
     return df.join(sized_broadcast(d), on=on, how="left")
 
 
-def with_surrogate_key(df: DataFrame, name: str, order_by: Sequence, start: int | Column = 0
-                       ) -> DataFrame:
+def with_surrogate_key(df: DataFrame, name: str, order_by: Sequence, start: int | Column = 0,
+                       materialize: bool = True) -> DataFrame:
     """Number rows 1..n in ``order_by`` order and add ``start`` (the current
     maximum of the target, like AUTO_INCREMENT / SERIAL).
 
     Distributed two-pass numbering: range-partition + sort, count rows per
     partition (one tiny row per partition), prefix-sum the counts and add the
     offset of each row's partition to its position inside the partition.
+
+    Partition ids and positions are assigned at run time, so a
+    re-evaluation (a second action, or a stage recomputed after an executor
+    loss) is not guaranteed to reproduce the same numbering for rows that
+    tie; by default the numbered frame is written once as a reliable
+    checkpoint so every consumer sees the same ids.
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order_by]
     ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
@@ -232,8 +238,9 @@ def with_surrogate_key(df: DataFrame, name: str, order_by: Sequence, start: int
     offsets = counts.select("_pid", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     start_col = start if isinstance(start, Column) else F.lit(start)
     out = ranged.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(name, (F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1 + start_col).cast("long")) \
+    out = out.withColumn(name, (F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1 + start_col).cast("long")) \
         .drop("_pid", "_mid", "_m0", "_off")
+    return out.checkpoint(eager=True) if materialize else out
 
 
 def apply_defaults(df: DataFrame, spec: dict[str, object], now=None) -> DataFrame:
