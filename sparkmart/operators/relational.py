@@ -225,22 +225,28 @@ def with_surrogate_key(df: DataFrame, name: str, order_by: Sequence, start: int
     Partition ids and positions are assigned at run time, so a
     re-evaluation (a second action, or a stage recomputed after an executor
     loss) is not guaranteed to reproduce the same numbering for rows that
-    tie; by default the numbered frame is written once as a reliable
-    checkpoint so every consumer sees the same ids.
+    tie; by default the range-partitioned, position-tagged frame is written
+    once as a reliable checkpoint and both the per-partition counts and the
+    numbering are derived from that fixed copy, so every consumer sees the
+    same ids. (The broadcast offsets table has one row per partition.)
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order_by]
     ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
+    if materialize:
+        # one fixed copy: the count branch and the numbering branch must see
+        # the same partition ids (AQE may coalesce two separate exchanges
+        # differently, and a recomputed stage may place ties differently)
+        ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     from pyspark.sql import Window
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     start_col = start if isinstance(start, Column) else F.lit(start)
     out = ranged.join(F.broadcast(offsets), "_pid")
-    out = out.withColumn(name, (F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1 + start_col).cast("long")) \
+    return out.withColumn(name, (F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1 + start_col).cast("long")) \
         .drop("_pid", "_mid", "_m0", "_off")
-    return out.checkpoint(eager=True) if materialize else out
 
 
 def apply_defaults(df: DataFrame, spec: dict[str, object], now=None) -> DataFrame:
