@@ -80,19 +80,25 @@ def label_int(label: Column) -> Column:
 def word_terms(df: DataFrame, id_col: str, text: str, ngrams: tuple[int, int] = (1, 2),
                min_chars: int = 1) -> DataFrame:
     """(id, term) rows: lower-cased word n-grams (tokens = runs of word
-    characters of at least ``min_chars``)."""
+    characters of at least ``min_chars``). Each text is tokenised once; all
+    n-gram orders are generated from that one token array and exploded once."""
     pat = WORD_RE if min_chars <= 1 else r"[\p{L}\p{N}_]{%d,}" % min_chars
     toks = df.select(id_col, F.regexp_extract_all(F.lower(F.col(text)), F.lit(pat), 0).alias("toks"))
-    out = None
+    t = F.col("toks")
+    arrays = []
     for n in range(ngrams[0], ngrams[1] + 1):
         if n == 1:
-            g = toks.select(id_col, F.explode("toks").alias("term"))
+            arrays.append(t)
+        elif n == 2:
+            nxt = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
+            arrays.append(F.filter(F.zip_with(t, nxt, lambda a, b: F.concat(a, F.lit(" "), b)),
+                                   lambda x: x.isNotNull()))
         else:
-            idx = F.sequence(F.lit(1), F.size("toks") - n + 1)
-            grams = F.transform(idx, lambda i: F.array_join(F.slice("toks", i, n), " "))
-            g = toks.filter(F.size("toks") >= n).select(id_col, F.explode(grams).alias("term"))
-        out = g if out is None else out.unionByName(g)
-    return out
+            idx = F.sequence(F.lit(1), F.greatest(F.size(t) - n + 1, F.lit(0)))
+            arrays.append(F.filter(F.transform(idx, lambda i, n=n: F.array_join(F.slice(t, i, n), " ")),
+                                   lambda x: F.size(F.split(x, " ")) == n))
+    terms = arrays[0] if len(arrays) == 1 else F.concat(*arrays)
+    return toks.select(id_col, F.explode(terms).alias("term"))
 
 
 def char_terms(df: DataFrame, id_col: str, text: str, ngrams: tuple[int, int] = (3, 5)) -> DataFrame:
