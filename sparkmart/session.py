@@ -104,12 +104,23 @@ def ship_package(spark) -> None:
                     full = os.path.join(dirpath, f)
                     zf.write(full, os.path.join("sparkmart", os.path.relpath(full, pkg)))
     target = scratch_path(spark, "pyfiles")
+    name = f"sparkmart-{uuid.uuid4().hex[:8]}.zip"
     if "://" in target and not target.startswith("file:"):
-        target = tempfile.mkdtemp(prefix="sparkmart-pyfiles-")
-    target = target.replace("file:", "", 1) if target.startswith("file:") else target
-    os.makedirs(target, exist_ok=True)
-    path = os.path.join(target, f"sparkmart-{uuid.uuid4().hex[:8]}.zip")
-    with open(path, "wb") as fh:
-        fh.write(buf.getvalue())
+        # shared remote folder (e.g. hdfs://, s3a://): write through Hadoop's FileSystem
+        jvm = spark._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(f"{target}/{name}")
+        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        out = fs.create(jpath, True)
+        try:
+            out.write(bytearray(buf.getvalue()))
+        finally:
+            out.close()
+        path = jpath.toString()
+    else:
+        local = target.replace("file:", "", 1) if target.startswith("file:") else target
+        os.makedirs(local, exist_ok=True)
+        path = os.path.join(local, name)
+        with open(path, "wb") as fh:
+            fh.write(buf.getvalue())
     sc.addPyFile(path)
     sc._sparkmart_shipped = True
