@@ -102,3 +102,13 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 
     return _mapper(df, rank_file, pattern, fields,
                    "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ok boolean")
+
+
+def encoded(df: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """(doc_id, ids, n_tokens, decoded_sha256): the ids, and the digest of the
+    bytes that they decode to."""
+    def fields(enc, text):
+        ids = encode_text(enc, text or "")
+        return {"ids": ids, "n_tokens": len(ids), "decoded_sha256": hashlib.sha256(enc.decode_bytes(ids)).hexdigest()}
+
+    return _mapper(df, rank_file, pattern, fields, "doc_id bigint, ids array<int>, n_tokens bigint, decoded_sha256 string")

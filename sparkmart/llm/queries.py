@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import bpe, language_id, token_counts, toxicity
+from sparkmart.llm import bpe, decontaminate, jaccard_join, language_id, mtree_search, ngram_lm, quote_linking, substring_dedup, token_counts, toxicity
 from sparkmart.llm.common import held_out, prepare
 
 
@@ -65,3 +65,143 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                           public_tokenizers.PATTERN)
+
+
+DECONTAMINATE_SQL = r"""
+WITH item AS (
+  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+item2 AS (SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k FROM item WHERE len(w) > 0),
+doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM documents WHERE text IS NOT NULL),
+ipos AS (SELECT item_id, n, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+         FROM (SELECT *, unnest(range(1, n - k + 2)) AS p FROM item2)),
+ks AS (SELECT DISTINCT k FROM item2),
+dpos AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+         FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM doc, ks WHERE len(w) >= k)),
+dlen AS (SELECT doc_id, len(w) AS len FROM doc),
+hit AS (SELECT DISTINCT d.doc_id, i.item_id, i.n, i.k, d.p - i.p AS st FROM dpos d JOIN ipos i USING (k, g)),
+win AS (SELECT DISTINCT doc_id, item_id, n, k, s
+        FROM (SELECT h.*, unnest(range(st - n // 5, st + n // 5 + 1)) AS s FROM hit h) JOIN dlen USING (doc_id)
+        WHERE s >= 0 AND s + n <= len),
+wg AS (SELECT doc_id, item_id, n, k, s, g, count(*) AS c
+       FROM win JOIN dpos USING (doc_id, k) WHERE p > s AND p <= s + n - k + 1 GROUP BY ALL),
+ig AS (SELECT item_id, k, g, count(*) AS c FROM ipos GROUP BY ALL),
+shared AS (SELECT doc_id, item_id, n, k, s, sum(least(wg.c, ig.c)) AS i FROM wg JOIN ig USING (item_id, k, g) GROUP BY ALL),
+sim AS (SELECT doc_id, item_id, n, s, i / (2 * (n - k + 1) - i) AS similarity FROM shared)
+SELECT doc_id, item_id, CAST(similarity AS DOUBLE) AS similarity, CAST(s AS INTEGER) AS start, CAST(n AS INTEGER) AS n_words
+FROM sim WHERE similarity >= 0.8 - 1e-12
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
+"""
+
+
+@register("op3_decontaminate", DECONTAMINATE_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start", "n_words")
+
+
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 34], ' ')) AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+dup AS (SELECT doc_id, p FROM win QUALIFY count(*) OVER (PARTITION BY g) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS p FROM dup),
+word AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT word.doc_id, string_agg(w[word.p], ' ' ORDER BY word.p) AS text, count(*) AS n
+         FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p
+         WHERE gone.p IS NULL GROUP BY word.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@register("op1_substring_dedup", SUBSTRING_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"), keep_text=False)
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+meet AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM g x JOIN g y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (SELECT a, b, i = sa.n AND i = sb.n AS same FROM meet JOIN size sa ON sa.doc_id = a JOIN size sb ON sb.doc_id = b
+         WHERE i >= 0.8 * (sa.n + sb.n - i) - 1e-9
+         UNION ALL SELECT x.doc_id, y.doc_id, true FROM d x, d y WHERE len(x.w) = 0 AND len(y.w) = 0 AND x.doc_id <> y.doc_id),
+reach AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM reach r JOIN link l ON l.a = r.a)
+SELECT doc_id, CAST(class_id AS BIGINT) AS class_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+       CAST(1 + coalesce(s, 0) AS BIGINT) AS n_copies
+FROM (SELECT a AS doc_id, min(c) AS class_id FROM reach GROUP BY a)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n, count(*) FILTER (same) AS s FROM link GROUP BY a) USING (doc_id)
+"""
+
+
+@register("op2_jaccard_join", JACCARD_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@register("op9_topk_search", TOP_K_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+QUOTES_SQL = r"""
+WITH RECURSIVE line AS (
+  SELECT rid, conv_id, turn, role, i, coalesce(length(regexp_replace(regexp_extract(l, '^(?:[ \t]*>)+'), '[^>]', '', 'g')), 0) AS level,
+         CASE WHEN regexp_extract(l, '^(?:[ \t]*>)+') = '' THEN l ELSE trim(l[length(regexp_extract(l, '^(?:[ \t]*>)+')) + 1:]) END AS body
+  FROM (SELECT rid, conv_id, turn, role, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM (
+          SELECT row_number() OVER () AS rid, conv_id, turn, role, regexp_split_to_array(text, '\r?\n') AS ls FROM conversations))),
+kept AS (SELECT * FROM (SELECT *, lead(level, 1, 0) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM line)
+         WHERE NOT (level = 0 AND nxt > 0 AND regexp_full_match(lower(body), '\s*on .* wrote:\s*'))),
+run AS (SELECT *, sum(CASE WHEN level = prev THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i) AS no
+        FROM (SELECT *, lag(level, 1, -1) OVER (PARTITION BY rid ORDER BY i) AS prev FROM kept)),
+norm AS (SELECT *, regexp_replace(trim(regexp_replace(lower(body), '\s+', ' ', 'g')), '^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$', '', 'g') AS h FROM run),
+own AS (SELECT rid, any_value(conv_id) AS conv_id, any_value(turn) AS turn,
+               trim(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (level = 0), ''), chr(10) || ' ') AS text,
+               count(DISTINCT no) FILTER (level > 0) AS n_quotes FROM run GROUP BY rid),
+unit AS (SELECT conv_id, turn, h FROM norm WHERE level = 0 AND h <> '' UNION
+         SELECT conv_id, turn, regexp_replace(trim(regexp_replace(lower(p), '\s+', ' ', 'g')), '^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$', '', 'g')
+         FROM (SELECT conv_id, turn, unnest(list_append(regexp_split_to_array(text, '\n\s*\n'), text)) AS p FROM own)),
+origin AS (SELECT conv_id, h, min(turn) AS origin FROM unit WHERE h <> '' GROUP BY ALL),
+whole AS (SELECT rid, conv_id, turn, no, level, 0 AS place, regexp_replace(trim(regexp_replace(lower(string_agg(body, ' ' ORDER BY i)),
+            '\s+', ' ', 'g')), '^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$', '', 'g') AS h FROM run WHERE level > 0 GROUP BY ALL),
+quote AS (SELECT * FROM whole UNION ALL SELECT rid, conv_id, turn, no, level, 1 + i AS place, h FROM norm WHERE level > 0),
+met AS (SELECT rid, no, level, arg_min(origin, place) AS origin FROM quote JOIN origin USING (conv_id, h) WHERE origin < turn GROUP BY ALL),
+reply AS (SELECT rid, arg_min(origin, level * 1000000 + no) AS reply_to, count(*) AS n_linked FROM met GROUP BY rid),
+up AS (SELECT conv_id, turn, min(reply_to) AS top FROM reply JOIN own USING (rid) GROUP BY ALL),
+chain AS (SELECT conv_id, turn, top FROM up UNION ALL
+          SELECT c.conv_id, c.turn, u.top FROM chain c JOIN up u ON u.conv_id = c.conv_id AND u.turn = c.top),
+roots AS (SELECT conv_id, turn, min(top) AS top FROM chain GROUP BY ALL)
+SELECT c.conv_id, c.turn, c.role, reply_to, coalesce(top, c.turn) AS thread, CAST(coalesce(n_quotes, 0) AS INTEGER) AS n_quotes,
+       CAST(coalesce(n_linked, 0) AS INTEGER) AS n_linked, coalesce(own.text, '') AS text
+FROM (SELECT row_number() OVER () AS rid, * FROM conversations) c LEFT JOIN own USING (rid) LEFT JOIN reply USING (rid)
+LEFT JOIN roots ON roots.conv_id = c.conv_id AND roots.turn = c.turn
+"""
+
+
+@register("op4_quote_linking", QUOTES_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_linking.link(table(spark, sf_dir, "conversations"))
+
+
+@register("op10_ngram_lm")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out("doc_id", 7, 2)
+    got = ngram_lm.score(docs, ngram_lm.build(docs.where(~out)))
+    return got.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
