@@ -73,15 +73,17 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return u, (n / max(len(g), 1)).astype(np.float32)
 
 
-def sample_rows(df: DataFrame, id_col: str, label: Column, eligible: Column, per_label) -> DataFrame:
+def sample_rows(df: DataFrame, id_col: str, label: Column, eligible: Column, per_label,
+                most: int) -> DataFrame:
     """(doc_id, label) of about ``per_label`` eligible rows of each label (a
     number, or a column of ``label``), picked by a hash of the id against the
-    label's share; only a count per label is gathered."""
+    label's share; only a count per label is gathered. ``most`` rows at most, so
+    the result may be broadcast."""
     rows = df.select(F.col(id_col).alias("doc_id"), label.alias("label")).where(eligible & label.isNotNull())
     share = rows.groupBy("label").agg(F.count("*").alias("n"))
     share = share.select("label", ((F.lit(float(per_label)) if isinstance(per_label, int) else per_label) / F.col("n")).alias("share"))
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
-    return rows.join(share, "label").where(u < F.col("share")).select("doc_id", "label")
+    return F.broadcast(rows.join(share, "label").where(u < F.col("share")).select("doc_id", "label").limit(most))
 
 
 def train(sets: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: int = 6, rate: float = 4.0,
@@ -141,7 +143,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     """Train on a bounded sample; only its hashed features reach the driver."""
     src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     ok = F.col("text").isNotNull() & (eligible if eligible is not None else F.lit(True))
-    ids = sample_rows(src, "doc_id", F.col("lang"), ok, per_lang)
+    ids = sample_rows(src, "doc_id", F.col("lang"), ok, per_lang, most=100 * per_lang)
     rows = src.where(ok).join(ids, "doc_id", "left_semi").select("text", "lang")
 
     def run(cols):

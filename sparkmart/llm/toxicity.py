@@ -105,7 +105,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     lab = lab.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     lab = lab.groupBy("doc_id").agg(F.max("label").alias("label"))
     ids = sample_rows(lab, "doc_id", F.col("label"), eligible if eligible is not None else F.lit(True),
-                      F.when(F.col("label") == 0, float(clean_factor * per_class)).otherwise(float(per_class)))
+                      F.when(F.col("label") == 0, float(clean_factor * per_class)).otherwise(float(per_class)),
+                      most=2 * (1 + clean_factor) * per_class)
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if eligible is not None:
         docs = docs.where(eligible)
