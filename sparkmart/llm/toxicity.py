@@ -76,7 +76,9 @@ def train(flat: list[tuple[np.ndarray, np.ndarray, int]], labels: list[int], ste
     docs = np.zeros(BUCKETS, np.int32)
     for idx, _, _ in flat:
         docs[np.unique(idx)] += 1
-    flat = [(idx[docs[idx] >= min_docs], of[docs[idx] >= min_docs], n) for idx, of, n in flat]
+    for i, (idx, of, n) in enumerate(flat):  # in place: the sample is held once
+        often = docs[idx] >= min_docs
+        flat[i] = (idx[often], of[often], n)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for i in rng.permutation(len(labels)):
@@ -97,7 +99,7 @@ def train(flat: list[tuple[np.ndarray, np.ndarray, int]], labels: list[int], ste
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", eligible: Column | None = None, per_class: int = 4000, clean_factor: int = 2) -> Model | None:
+        label_col: str = "toxic", eligible: Column | None = None, per_class: int = 3000, clean_factor: int = 2) -> Model | None:
     """Train on a bounded sample of the documents that ``labels`` marks, about
     ``per_class`` toxic and ``clean_factor`` times as many clean; ``eligible`` speaks of the column ``doc_id``. An id labelled twice counts
     by its largest label."""
@@ -125,8 +127,10 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     flat = []
     for i in range(got.num_rows):
         n = lens[i].values.to_numpy()
-        flat.append((idx[i].values.to_numpy(), np.repeat(np.arange(len(n), dtype=np.int32), n), len(n)))
-    return train(flat, got.column("label").to_pylist())
+        flat.append((idx[i].values.to_numpy().copy(), np.repeat(np.arange(len(n), dtype=np.int32), n), len(n)))
+    labels = got.column("label").to_pylist()
+    del got, idx, lens
+    return train(flat, labels)
 
 
 class _Words(dict):
