@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import bpe, decontaminate, jaccard_join, substring_dedup, toxicity
 from sparkmart.llm.common import prepare, written
-from sparkmart.llm.queries import LEARN
+from sparkmart.llm.queries import learn
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that the toxicity model, trained on ``labels``, rejects."""
-    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), eligible=LEARN)
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), eligible=learn())
     return toxicity.keep_clean(docs, model)
 
 

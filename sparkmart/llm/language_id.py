@@ -28,10 +28,7 @@ from sparkmart.llm.common import map_arrow
 BUCKETS, DIM, GRAMS = 1 << 15, 16, (3, 4)
 _LETTER = regex.compile(r"\p{L}")
 # bytes: ASCII letters to lower case, UTF-8 bytes as they are, the rest to space
-_FOLD = np.full(256, 0x20, np.uint8)
-_FOLD[0x80:] = np.arange(0x80, 0x100)
-_FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
-_FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
+_FOLD = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 0x20 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 
 
 @dataclass
@@ -43,32 +40,25 @@ class Model:
     threshold: float           # calibrated probability below which a prediction is rejected
 
 
-def grams(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, byte position) of every gram of the folded bytes."""
-    b = _FOLD[np.frombuffer(data, np.uint8)]
-    keep = np.ones(len(b), bool)
-    keep[1:] = (b[1:] != 0x20) | (b[:-1] != 0x20)
-    at = np.flatnonzero(keep)
-    c = b[at].astype(np.uint32)
-    found, where = [], []
-    for n in GRAMS:
-        if len(c) < n:
-            continue
-        h = np.zeros(len(c) - n + 1, np.uint32)
-        for j in range(n):
-            h = h * np.uint32(0x01000193) + c[j:j + len(h)] + np.uint32(n)
-        h ^= h >> np.uint32(15)
-        h *= np.uint32(0x2C1B3C6D)
-        found.append((h >> np.uint32(12)).astype(np.int32) & (BUCKETS - 1))
-        where.append(at[:len(h)])
-    if not found:
-        return np.zeros(0, np.int32), np.zeros(0, np.int64)
-    return np.concatenate(found), np.concatenate(where)
+def fold(text: str) -> bytes:
+    return b" " + b" ".join(text.encode().translate(_FOLD).split()) + b" "
+
+
+def grams(data: bytes, n: int) -> np.ndarray:
+    """The bucket of the n-gram at every byte but the last n - 1."""
+    c = np.frombuffer(data, np.uint8).astype(np.uint32)
+    h = np.zeros(max(len(c) - n + 1, 0), np.uint32)
+    for j in range(n):
+        h = h * np.uint32(0x01000193) + c[j:j + len(h)] + np.uint32(n)
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x2C1B3C6D)
+    return (h >> np.uint32(12)).astype(np.int32) & (BUCKETS - 1)
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of its grams."""
-    g, _ = grams(b" " + text.encode() + b" ")
+    data = fold(text)
+    g = np.concatenate([grams(data, n) for n in GRAMS])
     u, n = np.unique(g, return_counts=True)
     return u, (n / max(len(g), 1)).astype(np.float32)
 
@@ -156,33 +146,30 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     return train(sets, got.column("lang").to_pylist())
 
 
-def score_texts(model: Model, texts: list[str]) -> np.ndarray:
-    """Calibrated probabilities (texts, languages)."""
-    out = np.zeros((len(texts), len(model.langs)), np.float64)
+def score_texts(model: Model, texts: list[str], block: int = 1 << 20) -> np.ndarray:
+    """Calibrated probabilities (texts, languages); what a text gets does not
+    depend on its neighbours or on ``block``, the bytes gone over at a time."""
+    sums = np.zeros((len(texts), len(model.langs)))
+    total = np.zeros(len(texts))
     at = 0
-    while at < len(texts):  # blocks of about 1 MB keep the temporaries small
-        to, size, parts = at, 0, []
-        while to < len(texts) and (to == at or size < 1 << 20):
-            parts.append(b" " + texts[to].encode() + b" ")
+    while at < len(texts):
+        parts, size = [], 0
+        while at + len(parts) < len(texts) and (not parts or size < block):
+            parts.append(fold(texts[at + len(parts)]))
             size += len(parts[-1])
-            to += 1
-        ends = np.cumsum([len(p) for p in parts])
-        for lo in range(0, size, 1 << 21):  # a single long text goes in overlapping pieces
-            data = b"".join(parts)[lo:lo + (1 << 21) + max(GRAMS)]
-            g, where = grams(data)
-            inside = where < (1 << 21)
-            doc = np.searchsorted(ends, where[inside] + lo, side="right")
-            g = g[inside]
-            n = np.bincount(doc, minlength=to - at)
-            for k in range(len(model.langs)):
-                out[at:to, k] += np.bincount(doc, weights=model.table[:, k][g], minlength=to - at)
-            if lo == 0:
-                total = n.astype(np.float64)
-            else:
-                total += n
-        out[at:to] /= np.maximum(total, 1)[:, None]
-        at = to
-    z = (out + model.bias) / model.temperature
+        data, ends = b"".join(parts), np.cumsum([len(p) for p in parts])
+        for n in GRAMS:
+            for lo in range(0, size, 2 * block):
+                g = grams(data[lo:lo + 2 * block + n - 1], n)
+                start = np.arange(lo, lo + len(g))
+                doc = np.searchsorted(ends, start, side="right")
+                inside = start + n <= ends[doc]          # no gram spans two texts
+                g, doc = g[inside], doc[inside]
+                total[at:at + len(parts)] += np.bincount(doc, minlength=len(parts))
+                for k in range(len(model.langs)):
+                    sums[at:at + len(parts), k] += np.bincount(doc, weights=model.table[:, k][g], minlength=len(parts))
+        at += len(parts)
+    z = (sums / np.maximum(total, 1)[:, None] + model.bias) / model.temperature
     z = np.exp(z - z.max(1, keepdims=True))
     return z / z.sum(1, keepdims=True)
 

@@ -220,7 +220,7 @@ class Successors:
             return np.zeros(0, np.int64), np.zeros(0)
         lo, hi = pointers.access(np.array([place, place + 1])).astype(np.int64)
         i = np.arange(lo, hi)
-        return (values.access(i) - _U(place) * _U(self.size + 1)).astype(np.int64), -codes[i] / QUANTUM
+        return (values.access(i) - _U(place) * _U(self.size + 1)).astype(np.int64), -codes[i].astype(np.float64) / QUANTUM
 
 
 class Model:

@@ -36,13 +36,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-LEARN = ~held_out("doc_id")
+def learn():
+    """The rows that classifiers may learn from."""
+    return ~held_out("doc_id")
 
 
 @register("op5_language_id")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language_id.fit(docs, eligible=LEARN)
+    model = language_id.fit(docs, eligible=learn())
     got = language_id.predict(docs, model)
     return got.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
 
@@ -55,7 +57,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), eligible=LEARN)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), eligible=learn())
     got = toxicity.score(docs, model)
     return got.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted",
                       F.size("offending").alias("n_offending"))
