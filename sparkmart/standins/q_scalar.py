@@ -45,7 +45,7 @@ _STN = str_to_num_duck("src_text")
 WITH src AS (
   SELECT 'events' AS source, event_id AS id, props AS src_text FROM events
   UNION ALL SELECT 'customer', c_custkey, c_name FROM customer
-  UNION ALL SELECT 'customer_long', c_custkey, CAST(c_custkey AS VARCHAR) || repeat('7', CAST(c_custkey % 27 AS INTEGER)) || '원' FROM customer
+  UNION ALL SELECT 'customer_long', c_custkey, CAST(c_custkey AS VARCHAR) || repeat('7', CAST(c_custkey % 34 AS INTEGER)) || '원' FROM customer
   UNION ALL SELECT 'part', p_partkey, printf('%.3f', p_retailprice / 7) || ' 원' FROM part
   UNION ALL SELECT 'part_name', p_partkey, p_name FROM part
   UNION ALL SELECT 'part_dots', p_partkey, CAST(p_size AS VARCHAR) || '.' || CAST(p_size AS VARCHAR) || '.' FROM part
@@ -59,7 +59,7 @@ def q_str_to_num(spark, d):
                                           F.col("c_name").alias("src_text")))
            .unionByName(t.customer.select(F.lit("customer_long").alias("source"), F.col("c_custkey").alias("id"),
                                           F.concat(F.col("c_custkey").cast("string"),
-                                                   F.repeat(F.lit("7"), (F.col("c_custkey") % 27).cast("int")),
+                                                   F.repeat(F.lit("7"), (F.col("c_custkey") % 34).cast("int")),
                                                    F.lit("원")).alias("src_text")))
            .unionByName(t.part.select(F.lit("part").alias("source"), F.col("p_partkey").alias("id"),
                                       F.concat(F.format_string("%.3f", F.col("p_retailprice") / 7), F.lit(" 원")).alias("src_text")))
