@@ -17,18 +17,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.session import spread
-
-NODE_SCHEMA = ("page_id long, pos int, tag string, cls string, attrs map<string,string>, "
+NODE_FIELDS = ("pos int, tag string, cls string, attrs map<string,string>, "
                "text string, scope string, scope_pos int, parent_cls string")
+ERROR_TAG = "#error"   # the row of a page that could not be read to its end; its text is the error
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
 
 
-def _matches(sel: str, tag: str, classes: list[str]) -> bool:
-    t, _, c = sel.partition(".")
-    return (not t or t == tag) and (not c or c in classes)
+def _matches(sel: str, tag: str, classes: list[str], elem_id: str | None = None) -> bool:
+    """'tag', '.class', 'tag.class.class' and 'tag#id' selectors."""
+    name, _, rest = sel.partition("#") if "#" in sel else sel.partition(".")
+    if name and name != tag:
+        return False
+    return elem_id == rest if "#" in sel else set(filter(None, rest.split("."))) <= set(classes)
 
 
 class _NodeParser(HTMLParser):
@@ -49,7 +51,7 @@ class _NodeParser(HTMLParser):
     def handle_starttag(self, tag, attrs):
         amap = {k: (v if v is not None else "") for k, v in attrs}
         classes = amap.get("class", "").split()
-        own = next((s for s in self.scopes if _matches(s, tag, classes)), None)
+        own = next((s for s in self.scopes if _matches(s, tag, classes, amap.get("id"))), None)
         scope, scope_pos = self._scope()
         parent_cls = self.stack[-1][3] if self.stack else None
         self.pos += 1
@@ -97,7 +99,7 @@ def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                 scopes: Sequence[str] = (), keep_tags: Sequence[str] | None = None,
                 materialize: bool = True) -> DataFrame:
     """Node table of every page (see module doc). ``scopes`` are simple
-    selectors ('tag', '.class' or 'tag.class'); ``keep_tags`` limits the
+    selectors ('tag', '.class', 'tag.class' or 'tag#id'); ``keep_tags`` limits the
     emitted elements (scope elements are always emitted). ``text`` follows
     "get_text(strip=True)": stripped text pieces of the subtree, joined.
 
@@ -109,8 +111,10 @@ def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     keep = set(keep_tags) if keep_tags else None
     scopes = list(scopes)
 
+    kind = pages.schema[id_col].dataType.simpleString()
+    cols = ["page_id", "pos", "tag", "cls", "attrs", "text", "scope", "scope_pos", "parent_cls"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["page_id", "pos", "tag", "cls", "attrs", "text", "scope", "scope_pos", "parent_cls"]
         for pdf in batches:
             out = []
             for pid, html in zip(pdf[id_col].tolist(), pdf[html_col].tolist()):
@@ -120,17 +124,20 @@ def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                 try:
                     p.feed(html)
                     rows = p.finish()
-                except Exception:  # malformed page: keep what was parsed
-                    rows = p.rows
+                except Exception as e:  # what was read stays, and the page is reported
+                    rows = [*p.rows, [p.pos + 1, ERROR_TAG, "", {}, f"{type(e).__name__}: {e}", None, None, None]]
                 out.extend([pid, *r] for r in rows)
-            yield pd.DataFrame(out, columns=cols).astype({"pos": "int32"}) if out else pd.DataFrame(
-                {c: pd.Series(dtype="object") for c in cols}).astype({"page_id": "int64", "pos": "int32"})
+            yield pd.DataFrame(out, columns=cols, dtype="object")
 
-    src = spread(pages.select(F.col(id_col).cast("long").alias(id_col), F.col(html_col)))
-    nodes = src.mapInPandas(run, NODE_SCHEMA)
+    nodes = pages.select(id_col, html_col).mapInPandas(run, f"page_id {kind}, {NODE_FIELDS}")
     return nodes.checkpoint(eager=True) if materialize else nodes
 
 
+def parse_rejects(nodes: DataFrame) -> DataFrame:
+    """(page_id, error) of the pages that could not be read to their end."""
+    return nodes.where(F.col("tag") == ERROR_TAG).select("page_id", F.col("text").alias("error"))
+
+
 def attr(name: str) -> Column:
     return F.col("attrs").getItem(name)
 

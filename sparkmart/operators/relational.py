@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "first_wins", "insert_ignore", "insert_ignore_table", "anti_not_in", "delete_not_in",
     "delete_in", "cascade_delete", "unseen", "lookup_first", "with_surrogate_key",
-    "apply_defaults", "nulls_for_nan", "sized_broadcast", "keys_distinct", "update_from",
+    "apply_defaults", "nulls_for_nan", "keys_distinct", "update_from",
 ]
 
 
@@ -112,9 +112,8 @@ def insert_ignore_table(target: DataFrame, batch: DataFrame, pk, **kw) -> DataFr
 
 
 def _not_in_stats(ref: DataFrame, ref_key: str) -> tuple[Column, Column]:
-    n_ref = ref.select(F.count(F.lit(1))).scalar()
-    n_null = ref.select(F.count_if(F.col(ref_key).isNull())).scalar()
-    return n_ref, n_null
+    both = ref.select(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col(ref_key).isNull()).alias("nulls"))).scalar()
+    return both["n"], both["nulls"]   # one aggregate; the two reads share its subquery
 
 
 def anti_not_in(df: DataFrame, key: str, ref: DataFrame, ref_key: str | None = None) -> DataFrame:
@@ -161,43 +160,47 @@ def cascade_delete(tables: dict[str, DataFrame], edges: Sequence[tuple[str, str,
 
     Returns the surviving version of every table in ``tables``.
     """
-    ids_key = ids_key or root_key
-    deleted: dict[str, tuple[DataFrame, str]] = {
-        root: (tables[root].join(keys_distinct(ids, [ids_key], [root_key]), root_key, "left_semi"), root_key)}
+    gone = {root: keys_distinct(ids, [ids_key or root_key], [root_key])}   # per table: a condition frame on its columns
+    hits: dict[str, list[tuple[str, DataFrame]]] = {root: [(root_key, gone[root])]}
     out = dict(tables)
-    out[root] = delete_in(tables[root], root_key, ids, ids_key)
-    frontier = [root]
-    while frontier:
-        parent = frontier.pop(0)
-        gone, _ = deleted[parent]
-        for p, pkey, child, fk in edges:
-            if p != parent:
-                continue
-            gone_keys = keys_distinct(gone, [pkey], [fk])
-            child_gone = tables[child].join(gone_keys, fk, "left_semi")
-            out[child] = out[child].join(gone_keys, fk, "left_anti")
-            deleted[child] = (child_gone, fk)
-            frontier.append(child)
+    for table in _parents_first(edges, root):
+        found = hits.get(table, [])
+        flagged = tables[table]
+        for i, (fk, keys) in enumerate(found):   # a row goes if any of its parents goes
+            flagged = flagged.join(keys.withColumn(f"_gone{i}", F.lit(True)), fk, "left")
+        any_gone = F.coalesce(*[F.col(f"_gone{i}") for i in range(len(found))], F.lit(False))
+        out[table] = flagged.where(~any_gone).select(*tables[table].columns)
+        for parent, pkey, child, fk in edges:
+            if parent == table:
+                hits.setdefault(child, []).append((fk, keys_distinct(flagged.where(any_gone), [pkey], [fk])))
     return out
 
 
+def _parents_first(edges: Sequence[tuple[str, str, str, str]], root: str) -> list[str]:
+    """The tables reached from ``root``, every parent before its children; a
+    cycle of cascades is refused."""
+    reached, todo = {root}, [root]
+    while todo:
+        for child in [c for p, _, c, _ in edges if p == todo[-1] and c not in reached]:
+            reached.add(child)
+            todo.insert(0, child)
+        todo.pop()
+    order: list[str] = []
+    while len(order) < len(reached):
+        ready = [t for t in sorted(reached - set(order))
+                 if all(p in order or p not in reached for p, _, c, _ in edges if c == t)]
+        if not ready:
+            raise ValueError(f"cascades form a cycle among {sorted(reached - set(order))}")
+        order += ready
+    return order
+
+
 def unseen(df: DataFrame, key: str, seen: DataFrame, seen_key: str | None = None) -> DataFrame:
     """Incremental filter: rows whose key is not yet loaded. With nothing seen,
     everything (NULL keys too) is new; otherwise NULL keys are dropped."""
     return anti_not_in(df, key, seen, seen_key)
 
 
-def sized_broadcast(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
-    """Broadcast ``df`` only if the optimizer's size estimate is under
-    ``max_bytes``; otherwise return it unchanged (shuffle join; AQE may still
-    broadcast it at run time from real statistics)."""
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - estimate unavailable (e.g. Connect)
-        return df
-    return F.broadcast(df) if size <= max_bytes else df
-
-
 def lookup_first(df: DataFrame, dim: DataFrame, on: str | Sequence[str], order_by: Sequence,
                  dim_on: str | Sequence[str] | None = None) -> DataFrame:
     """Left join to ``dim`` taking only the first dim row per key (missing
@@ -210,7 +213,7 @@ def lookup_first(df: DataFrame, dim: DataFrame, on: str | Sequence[str], order_b
         d = d.select(*[F.col(a).alias(b) for a, b in zip(dim_on, on)],
                      *[c for c in d.columns if c not in dim_on])
     d = first_wins(d.filter(F.col(on[0]).isNotNull()), on, order_by)
-    return df.join(sized_broadcast(d), on=on, how="left")
+    return df.join(d, on=on, how="left")
 
 
 def with_surrogate_key(df: DataFrame, name: str, order_by: Sequence, start: int | Column = 0,
@@ -269,11 +272,12 @@ def nulls_for_nan(df: DataFrame) -> DataFrame:
 
 def update_from(target: DataFrame, updates: DataFrame, key: str | Sequence[str],
                 assignments: dict[str, str]) -> DataFrame:
-    """``UPDATE target SET col = updates.val WHERE key matches``: a left join
-    to the (key-unique) updates; unmatched rows and NULL values keep the old
-    value. ``assignments`` maps target column -> updates column."""
+    """``UPDATE target SET col = updates.val WHERE key matches``: unmatched rows
+    and NULL values keep the old value. ``assignments`` maps target column ->
+    updates column. Of several updates for a key the greatest value per column
+    holds, so the target's rows never multiply."""
     key = _cols(key)
-    u = updates.select(*key, *[F.col(v).alias(f"_u_{c}") for c, v in assignments.items()])
+    u = updates.groupBy(*key).agg(*[F.max(v).alias(f"_u_{c}") for c, v in assignments.items()])
     j = target.join(u, on=key, how="left")
     for c in assignments:
         j = j.withColumn(c, F.coalesce(F.col(f"_u_{c}"), F.col(c)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.collections import srcset_last
-from sparkmart.functions.text import https
+from sparkmart.functions.text import https, num_only
 from sparkmart.functions.urls import url_absolutise
 from sparkmart.operators import html as H
 from sparkmart.operators.aggregates import kv_pivot
@@ -95,23 +95,146 @@ def price_cards(pages: DataFrame, card_class: str = "product-section-ul-li", rat
         p.alias("price_text"))
 
 
-def kv_rows(pages: DataFrame, table_class: str | None = None) -> DataFrame:
+def kv_rows(pages: DataFrame, table_class: str | None = None, table_no: int | None = None) -> DataFrame:
     """Key / value rows of tables: per <tr>, first th (else first td) is the
-    key and the next cell the value; rows where both are missing are dropped."""
-    nodes = H.parse_nodes(pages, scopes=["tr"], keep_tags=["tr", "th", "td", "table"])
+    key and the next cell the value; rows where both are missing are dropped.
+    ``table_class`` (one or more class names) keeps tables of that class,
+    ``table_no`` the n-th of them on the page (from 1)."""
+    nodes = H.parse_nodes(pages, scopes=["tr", "table"], keep_tags=["tr", "th", "td", "table"])
     cells = nodes.filter(F.col("tag").isin("th", "td") & (F.col("scope") == "tr"))
+    if table_class or table_no:
+        of_class = F.lit(True)
+        for c in (table_class or "").split():
+            of_class = of_class & H.has_class(c)
+        chosen = nodes.filter((F.col("tag") == "table") & of_class).select("page_id", F.col("pos").alias("_table"))
+        if table_no:
+            nth = F.row_number().over(Window.partitionBy("page_id").orderBy("_table"))
+            chosen = chosen.withColumn("_n", nth).filter(F.col("_n") == table_no).drop("_n")
+        rows = nodes.filter((F.col("tag") == "tr") & (F.col("scope") == "table")).select(
+            "page_id", F.col("scope_pos").alias("_table"), F.col("pos").alias("scope_pos")).join(chosen, ["page_id", "_table"], "left_semi")
+        cells = cells.join(rows.drop("_table"), ["page_id", "scope_pos"], "left_semi")
     per_row = cells.groupBy("page_id", "scope_pos").agg(
         F.min_by(F.struct("tag", "text"), F.col("pos")).alias("c1"),
         F.sort_array(F.collect_list(F.struct("pos", "tag", "text"))).alias("cs"))
     key = F.col("c1.text")
     val = F.when(F.col("c1.tag") == "th",
-                 F.element_at(F.filter("cs", lambda x: x["tag"] == "td"), 1)["text"]) \
-        .otherwise(F.element_at("cs", 2)["text"])
+                 F.try_element_at(F.filter("cs", lambda x: x["tag"] == "td"), F.lit(1))["text"]) \
+        .otherwise(F.try_element_at("cs", F.lit(2))["text"])
     out = per_row.select("page_id", F.col("scope_pos").alias("row_pos"), key.alias("detail_col"), val.alias("detail_val"))
     present = F.coalesce(F.col("detail_col"), F.lit("")) != ""
     return out.filter(present | (F.coalesce(F.col("detail_val"), F.lit("")) != ""))
 
 
+def meta_tags(pages: DataFrame) -> DataFrame:
+    """(page_id, name, property, content): the first <meta> of each name and property."""
+    nodes = H.parse_nodes(pages, keep_tags=["meta"])
+    tags = nodes.filter((F.col("tag") == "meta") & H.attr("content").isNotNull())
+    return tags.groupBy("page_id", H.attr("name").alias("name"), H.attr("property").alias("property")).agg(
+        F.min_by(H.attr("content"), "pos").alias("content"))
+
+
+def info_images(pages: DataFrame, container: str = "div.product_info_area") -> DataFrame:
+    """(page_id, pos, img_url): ``src`` of the images inside the container, no GIFs."""
+    nodes = H.parse_nodes(pages, scopes=[container], keep_tags=["img"])
+    src = H.attr("src")
+    return nodes.filter((F.col("tag") == "img") & (F.col("scope") == container) & (src != "")
+                        & ~F.lower(src).endswith(".gif")).select("page_id", "pos", src.alias("img_url"))
+
+
+def _first(cond, value):
+    """First value in document order where ``cond`` holds."""
+    return F.min_by(F.when(cond, value), F.when(cond, F.col("pos")))
+
+
+def _all(cond, value):
+    """All values in document order where ``cond`` holds."""
+    return F.transform(F.sort_array(F.collect_list(F.when(cond, F.struct("pos", value.alias("v"))))), lambda x: x["v"])
+
+
+# The columns filled from the lists of a product page, in page order.
+RATIO_COLUMNS = ["kok_5_ratio", "kok_4_ratio", "kok_3_ratio", "kok_2_ratio", "kok_1_ratio"]
+ASPECT_COLUMNS = ["kok_aspect_price", "kok_aspect_delivery", "kok_aspect_taste"]
+SELLER_COLUMNS = ["kok_seller", "kok_co_ceo", "kok_co_reg_no", "kok_co_ec_reg", "kok_tell", "kok_ver_item",
+                  "kok_ver_date", "kok_co_addr", "kok_return_addr", "kok_exchange_addr"]
+
+
+def product_rows(pages: DataFrame) -> DataFrame:
+    """Product page -> one row of 28 fields (id, store, name, thumbnail, price,
+    review score and count, five ratios, three aspects with ratios, ten seller
+    cells); a blank is NULL, and a page without a field has NULL there. The
+    thumbnail falls back to og:image when it is missing or about:blank."""
+    info, seller, score = "div.review_info_list", "table.row-table.mb--40", "button#review_show"
+    nodes = H.parse_nodes(pages, scopes=[info, seller, score, "div.card-info-del_wrap", "div.card_main-image"],
+                          keep_tags=["span", "strong", "del", "img", "meta", "td", "div"])
+    tag, text, scope = F.col("tag"), F.col("text"), F.col("scope")
+    cell = (tag == "td") & (scope == seller)
+    per_page = nodes.groupBy("page_id").agg(
+        _first((tag == "strong") & H.parent_has_class("product__title"), text).alias("kok_store_name"),
+        _first((tag == "span") & H.has_class("product__title"), text).alias("kok_product_name"),
+        _first((tag == "img") & (scope == "div.card_main-image"), F.coalesce(H.attr("src"), F.lit(""))).alias("_thumb"),
+        _first((tag == "meta") & (H.attr("property") == "og:image"), H.attr("content")).alias("_og"),
+        _first((tag == "del") & (scope == "div.card-info-del_wrap"), text).alias("kok_product_price"),
+        _first((tag == "span") & (scope == score), text).alias("kok_review_score"),
+        _first((tag == "strong") & (scope == score), text).alias("kok_review_cnt"),
+        _all((tag == "div") & (scope == info) & H.parent_has_class("per"), text).alias("_per"),
+        _all((tag == "div") & (scope == info) & H.parent_has_class("info"), text).alias("_info"),
+        F.sort_array(F.collect_list(F.when(cell, F.struct("scope_pos", "pos", "text")))).alias("_cells"))
+    first_table = F.filter("_cells", lambda c: c["scope_pos"] == F.try_element_at(F.col("_cells"), F.lit(1))["scope_pos"])
+
+    def at(values, i: int, name: str):
+        return F.nullif(F.try_element_at(values, F.lit(i + 1)), F.lit("")).alias(name)
+
+    def field(name: str):
+        return F.nullif(F.col(name), F.lit("")).alias(name)
+
+    cells = F.transform(first_table, lambda c: c["text"])
+    no_thumb = F.coalesce(F.col("_thumb"), F.lit("")).isin("") | F.col("_thumb").contains("about:blank")
+    aspects = [c for i, name in enumerate(ASPECT_COLUMNS)
+               for c in (at(F.col("_info"), i, name), at(F.col("_per"), 5 + i, f"{name}_ratio"))]
+    out = per_page.select(
+        F.col("page_id").alias("kok_product_id"), field("kok_store_name"), field("kok_product_name"),
+        F.nullif(F.when(no_thumb, F.col("_og")).otherwise(F.col("_thumb")), F.lit("")).alias("kok_thumbnail"),
+        field("kok_product_price"), field("kok_review_score"), field("kok_review_cnt"),
+        *[at(F.col("_per"), i, name) for i, name in enumerate(RATIO_COLUMNS)], *aspects,
+        *[at(cells, i, name) for i, name in enumerate(SELLER_COLUMNS)])
+    return pages.select(F.col("page_id").alias("kok_product_id")).join(out, "kok_product_id", "left")
+
+
+def price_block(pages: DataFrame) -> DataFrame:
+    """(page_id, sale_price, dc_price, dc_rate): list price, selling price and
+    rate of a page. The recobell meta tags come first; a discount block
+    overrides them, an undiscounted price only fills what they leave open (rate
+    0); a rate that is nowhere given is computed (half-even) where the selling
+    price is at most the list price. 0 counts as missing where a value may
+    still be found elsewhere."""
+    box = ".price-wrap"
+    nodes = H.parse_nodes(pages, scopes=[box])
+    top = nodes.filter(F.coalesce(F.col("scope") == box, F.lit(False))).groupBy("page_id").agg(F.min("scope_pos").alias("_box"))
+    nodes = nodes.join(top, "page_id", "left")
+    inside = (F.col("scope") == box) & (F.col("scope_pos") == F.col("_box"))
+
+    def meta(name: str):
+        return num_only(_first((F.col("tag") == "meta") & (H.attr("name") == "recobell") & (H.attr("property") == name), H.attr("content")))
+
+    def block(cls: str):
+        return _first(inside & H.has_class(cls), F.col("text"))
+
+    got = nodes.groupBy("page_id").agg(
+        meta("eg:originalPrice").alias("m_list"), meta("eg:salePrice").alias("m_sale"), block("dc-price").alias("b_dc"),
+        num_only(block("dc-price")).alias("dc"), num_only(block("origin-price")).alias("origin"),
+        num_only(block("dc-rate")).alias("rate"), block("current-price").alias("b_now"), num_only(block("current-price")).alias("now"))
+    cut = F.col("b_dc").isNotNull()
+    plain = ~cut & F.col("b_now").isNotNull() & F.col("now").isNotNull()
+    filled = lambda a, b: F.coalesce(F.nullif(F.col(a), F.lit(0)), F.col(b))
+    got = got.select("page_id", F.when(cut, filled("origin", "m_list")).when(plain, filled("m_list", "now")).otherwise(F.col("m_list")).alias("sale_price"),
+                     F.when(cut, filled("dc", "m_sale")).when(plain, filled("m_sale", "now")).otherwise(F.col("m_sale")).alias("dc_price"),
+                     F.when(cut, F.col("rate")).when(plain, F.lit(0)).alias("_rate"))
+    s, d = F.col("sale_price"), F.col("dc_price")
+    computed = F.when((s > 0) & (d <= s), F.bround((s - d) * 100.0 / s, 0).cast("bigint"))
+    out = got.select("page_id", "sale_price", "dc_price", F.coalesce(F.col("_rate").cast("bigint"), computed).alias("dc_rate"))
+    return pages.select("page_id").join(out, "page_id", "left")
+
+
 def reviews(pages: DataFrame, item_class: str = "review_info_info_item") -> DataFrame:
     """First ``MAX_REVIEWS`` review items per page: nickname, date, stars
     (filled icons), price / delivery / taste aspects, text."""
@@ -154,7 +277,8 @@ def schedule_items(pages: DataFrame, now) -> DataFrame:
     thumbnail. Sub rows inherit the main row's time and title."""
     from sparkmart.functions.temporal import ON_AIR_TEXT, on_air_range
 
-    nodes = H.parse_nodes(pages, scopes=["li.item", "li"])
+    # texts are kept for the elements that hold a field only
+    nodes = H.parse_nodes(pages, scopes=["li.item", "li"], keep_tags=["div", "span", "p", "a", "strong", "img"])
     page_attr = nodes.groupBy("page_id").agg(
         F.max(H.attr("date")).alias("live_date"),
         F.max(F.substring(F.split(H.attr("bdetimesecond"), " ").getItem(1), 1, 5)).alias("_on_air_end"))

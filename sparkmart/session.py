@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings every job relies on; a cluster deployment passes its own values for
-# partitions and memory, these only fill gaps.
+# Defaults for a session that this module starts itself; a value that the
+# deployment has set (spark-defaults, --conf) is left as it is.
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +20,7 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.driver.memory": "8g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -26,8 +30,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    given = SparkConf()
     for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
+        if not given.contains(k):
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -56,7 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="sparkmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return path
 
@@ -67,20 +76,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sparkmart/{name}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Spread CPU-heavy (Python) work over the cluster: when ``df`` has fewer
-    partitions than the default parallelism (small inputs stored as one
-    file / row group), round-robin repartition it; otherwise leave the
-    existing partitioning untouched (no extra shuffle at scale)."""
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover
-        return df
-    return df.repartition(target) if n < target else df
-
-
 def ship_package(spark) -> None:
     """Make ``sparkmart`` importable in the executors' Python workers
     (Pandas UDFs, ``mapInPandas``) by zipping the package once per

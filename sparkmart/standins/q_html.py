@@ -254,3 +254,118 @@ def q_html_schedule(spark, d):
         k.cast("string"), F.lit('.jpg"></div>'), sub, F.lit("</li></ul></div>"))
     pages = o.select(k.alias("page_id"), html.alias("html"))
     return HJ.schedule_items(pages, NOW)
+
+
+def _esc(c):
+    return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+@register("html_meta_tags", oracle="""
+SELECT p_partkey AS page_id, CAST(NULL AS VARCHAR) AS name, 'og:title' AS property, p_name AS content FROM part
+UNION ALL SELECT p_partkey, 'recobell', 'eg:itemId', CAST(p_partkey AS VARCHAR) FROM part
+UNION ALL SELECT p_partkey, 'author', NULL, p_brand FROM part WHERE p_partkey % 2 = 0
+UNION ALL SELECT p_partkey, 'keywords', NULL, '' FROM part
+""")
+def q_html_meta_tags(spark, d):
+    p = Tables(spark, d).part
+    k = F.col("p_partkey").cast("string")
+    html = F.concat(
+        F.lit('<html><head><meta charset="utf-8"><meta property="og:title" content="'), _esc("p_name"),
+        F.lit('"><meta property="og:title" content="later"/><meta name="recobell" property="eg:itemId" content="'), k, F.lit('">'),
+        F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit('<meta name="author" content="'), _esc("p_brand"), F.lit('">'))).otherwise(""),
+        F.lit('<meta name="keywords" content=""></head><body></body></html>'))
+    return HJ.meta_tags(p.select(F.col("p_partkey").alias("page_id"), html.alias("html")))
+
+
+@register("html_info_images", oracle="""
+SELECT p_partkey AS page_id, '/img/' || p_partkey || '.jpg' AS img_url FROM part
+UNION ALL SELECT p_partkey, '/img/' || p_partkey || '.jpg' FROM part WHERE p_partkey % 3 = 0
+""")
+def q_html_info_images(spark, d):
+    p = Tables(spark, d).part
+    img = F.concat(F.lit('<img src="/img/'), F.col("p_partkey").cast("string"), F.lit('.jpg">'))
+    html = F.concat(F.lit('<img src="/out.png"><div class="area product_info_area"><p>'), img, F.lit('</p><img src="/a.GIF"><img src=""><img>'),
+                    F.when(F.col("p_partkey") % 3 == 0, img).otherwise(""), F.lit('</div><img src="/after.png">'))
+    return HJ.info_images(p.select(F.col("p_partkey").alias("page_id"), html.alias("html"))).drop("pos")
+
+
+@register("html_detail_rows", oracle="""
+SELECT p_partkey AS page_id, 'type' AS detail_col, p_type AS detail_val FROM part WHERE p_partkey % 4 <> 0
+UNION ALL SELECT p_partkey, 'size', CAST(p_size AS VARCHAR) FROM part WHERE p_partkey % 4 <> 0
+""")
+def q_html_detail_rows(spark, d):
+    p = Tables(spark, d).part
+    two = F.concat(F.lit('<table class="row-table mb--40"><tr><th>type</th><td>'), F.col("p_type"),
+                   F.lit("</td></tr><tr><th>size</th><td>"), F.col("p_size").cast("string"), F.lit("</td></tr></table>"))
+    html = F.concat(F.lit('<table class="other"><tr><th>x</th><td>y</td></tr></table><table class="mb--40 row-table"><tr><th>brand</th><td>'),
+                    F.col("p_brand"), F.lit("</td></tr></table>"), F.when(F.col("p_partkey") % 4 != 0, two).otherwise(""))
+    return HJ.kv_rows(p.select(F.col("p_partkey").alias("page_id"), html.alias("html")), "row-table mb--40", 2).drop("row_pos")
+
+
+@register("html_product_row", oracle="""
+WITH p AS (SELECT *, CAST(p_partkey AS VARCHAR) AS k, p_partkey % 5 = 0 AS bare FROM part)
+SELECT p_partkey AS kok_product_id, CASE WHEN NOT bare THEN p_brand END AS kok_store_name,
+       CASE WHEN NOT bare THEN p_brand || p_name END AS kok_product_name,
+       CASE WHEN bare THEN NULL WHEN p_partkey % 3 = 0 THEN '/og/' || k || '.png' ELSE '/t/' || k || '.jpg' END AS kok_thumbnail,
+       CASE WHEN NOT bare THEN CAST(p_size * 100 AS VARCHAR) || '원' END AS kok_product_price,
+       CASE WHEN NOT bare THEN '4.5' END AS kok_review_score, CASE WHEN NOT bare THEN CAST(p_size AS VARCHAR) END AS kok_review_cnt,
+       CASE WHEN NOT bare THEN '5%' END AS kok_5_ratio, CASE WHEN NOT bare THEN '4%' END AS kok_4_ratio,
+       CASE WHEN NOT bare THEN '3%' END AS kok_3_ratio, CAST(NULL AS VARCHAR) AS kok_2_ratio, CASE WHEN NOT bare THEN '1%' END AS kok_1_ratio,
+       CASE WHEN NOT bare THEN 'cheap' END AS kok_aspect_price, CASE WHEN NOT bare THEN '11%' END AS kok_aspect_price_ratio,
+       CASE WHEN NOT bare THEN 'fast' END AS kok_aspect_delivery, CASE WHEN NOT bare THEN '12%' END AS kok_aspect_delivery_ratio,
+       CAST(NULL AS VARCHAR) AS kok_aspect_taste, CAST(NULL AS VARCHAR) AS kok_aspect_taste_ratio,
+       CASE WHEN NOT bare THEN 'c0' || k END AS kok_seller, CASE WHEN NOT bare THEN 'c1' || k END AS kok_co_ceo,
+       CASE WHEN NOT bare THEN 'c2' || k END AS kok_co_reg_no, CAST(NULL AS VARCHAR) AS kok_co_ec_reg,
+       CASE WHEN NOT bare THEN 'c4' || k END AS kok_tell, CASE WHEN NOT bare THEN 'c5' || k END AS kok_ver_item,
+       CASE WHEN NOT bare THEN 'c6' || k END AS kok_ver_date, CASE WHEN NOT bare THEN 'c7' || k END AS kok_co_addr,
+       CAST(NULL AS VARCHAR) AS kok_return_addr, CAST(NULL AS VARCHAR) AS kok_exchange_addr
+FROM p
+""")
+def q_html_product_row(spark, d):
+    p = Tables(spark, d).part
+    k = F.col("p_partkey").cast("string")
+    cells = F.concat(*[F.concat(F.lit(f"<tr><th>h{i}</th><td> "), F.lit("") if i == 3 else F.concat(F.lit(f"c{i}"), k), F.lit("</td></tr>"))
+                       for i in range(8)])
+    per = "".join(f'<li class="per"><b>x</b><div>{v}</div></li>' for v in ("5%", "4%", "3%", "", "1%", "11%", "12%"))
+    full = F.concat(
+        F.lit('<html><head><meta property="og:image" content="/og/'), k, F.lit('.png"></head><body><span class="product__title"><strong>'),
+        F.col("p_brand"), F.lit("</strong> "), F.col("p_name"), F.lit('</span><div class="card_main-image"><a><img src="'),
+        F.when(F.col("p_partkey") % 3 == 0, F.lit("about:blank")).otherwise(F.concat(F.lit("/t/"), k, F.lit(".jpg"))),
+        F.lit('"></a></div><div class="card-info-del_wrap"><p><del>'), (F.col("p_size") * 100).cast("string"),
+        F.lit('원</del></p></div><button id="other"><span>0</span></button><button id="review_show"><span>4.5</span><strong>'),
+        F.col("p_size").cast("string"), F.lit(f'</strong></button><div class="review_info_list"><ul>{per}<li class="info"><div>cheap</div></li>'
+                                              '<li class="info"><div>fast</div></li></ul></div><table class="row-table mb--40">'),
+        cells, F.lit('</table><table class="row-table mb--40"><tr><td>other</td></tr></table></body></html>'))
+    html = F.when(F.col("p_partkey") % 5 == 0, F.lit("<html><body><p>gone</p></body></html>")).otherwise(full)
+    return HJ.product_rows(p.select(F.col("p_partkey").alias("page_id"), html.alias("html")))
+
+
+@register("html_price_block", oracle="""
+WITH o AS (SELECT o_orderkey AS k, CAST(floor(o_totalprice) AS BIGINT) AS p, o_orderkey % 6 AS v FROM orders),
+b AS (SELECT k, v, CASE v WHEN 0 THEN p WHEN 1 THEN p + 7 WHEN 2 THEN p WHEN 3 THEN p WHEN 4 THEN NULL ELSE p END AS sale_price,
+             CASE v WHEN 0 THEN p // 2 WHEN 1 THEN p // 3 WHEN 2 THEN p WHEN 3 THEN p - 1 WHEN 4 THEN NULL ELSE p + 5 END AS dc_price FROM o)
+SELECT k AS page_id, sale_price, dc_price,
+       CASE v WHEN 1 THEN 66 WHEN 2 THEN 0 WHEN 4 THEN NULL WHEN 5 THEN NULL
+              ELSE CAST(round_even(CAST((sale_price - dc_price) AS DOUBLE) * 100 / sale_price, 0) AS BIGINT) END AS dc_rate
+FROM b
+""")
+def q_html_price_block(spark, d):
+    o = Tables(spark, d).orders
+    k, p = F.col("o_orderkey"), F.floor("o_totalprice").cast("bigint")
+    won = lambda c: F.concat(F.format_number(c, 0), F.lit("원"))
+
+    def meta(name, c):
+        return F.concat(F.lit(f'<meta name="recobell" property="eg:{name}" content="'), c.cast("string"), F.lit('">'))
+
+    cut = F.concat(F.lit('<div class="price-wrap"><em class="dc-price">'), won(F.expr("cast(floor(o_totalprice) as bigint) div 3")),
+                   F.lit('</em><span class="origin-price">'), won(p + 7), F.lit('</span><b class="dc-rate">66%</b></div>'
+                                                                                '<div class="price-wrap"><em class="dc-price">1</em></div>'))
+    plain = F.concat(F.lit('<div class="price-wrap"><span class="current-price">'), won(p), F.lit("</span></div>"))
+    v = k % 6
+    html = (F.when(v == 0, F.concat(meta("originalPrice", p), meta("salePrice", F.expr("cast(floor(o_totalprice) as bigint) div 2"))))
+            .when(v == 1, F.concat(meta("originalPrice", p), meta("salePrice", p), cut))
+            .when(v == 2, plain)
+            .when(v == 3, F.concat(meta("originalPrice", p), meta("salePrice", p - 1), F.lit('<div class="price-wrap"></div>')))
+            .when(v == 4, F.lit("<p>no price</p>"))
+            .otherwise(F.concat(meta("originalPrice", p), meta("salePrice", p + 5))))
+    return HJ.price_block(o.select(k.alias("page_id"), html.alias("html")))

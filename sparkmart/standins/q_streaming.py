@@ -37,16 +37,17 @@ def q_stm_incremental(spark, d):
 
 
 @register("stm_score", oracle=f"""
-WITH n AS (SELECT doc_id, {_NORM} AS s FROM documents), r AS (SELECT doc_id, {_RULE_SQL} AS rl FROM n)
+WITH n AS (SELECT doc_id, {_NORM} AS s FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic IS NOT NULL)), r AS (SELECT doc_id, {_RULE_SQL} AS rl FROM n)
 SELECT doc_id, coalesce(CASE rl WHEN '식재료' THEN 1 WHEN '완제품' THEN 0 END, 0) AS pred,
        CASE WHEN rl IS NULL THEN 0.5 ELSE 1.0 END AS conf FROM r
 """)
 def q_stm_score(spark, d):
-    docs = spark.read.parquet(f"{d.rstrip('/')}/documents.parquet").select("doc_id", "text")
+    t = Tables(spark, d)
+    docs = t.documents.join(t.labels.select("doc_id", F.col("toxic").alias("cls_ing")), "doc_id", "left").select("doc_id", "text", "cls_ing")
     src, tgt, ckpt = _dirs(spark, "stm_score")
     docs.filter(F.col("doc_id") % 2 == 0).write.mode("append").parquet(src)
     docs.filter(F.col("doc_id") % 2 == 1).write.mode("append").parquet(src)
     scorer = C.rule_scorer("text", FINISHED, INGREDIENT)
     S.stream_score(spark, src, docs.schema, tgt, ckpt, lambda b: scorer(b).select("doc_id", "pred", "conf"),
-                   max_files_per_trigger=1)
+                   max_files_per_trigger=1, label_col="cls_ing")
     return S.read_target(spark, tgt)

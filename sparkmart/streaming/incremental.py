@@ -19,13 +19,17 @@ from sparkmart.operators import relational as R
 
 
 def _target(spark: SparkSession, path: str, schema: StructType, before_batch: int) -> DataFrame:
-    try:
-        df = spark.read.schema(schema.add("batch_id", "long")).parquet(path)
-    except Exception:  # nothing written yet
+    if not _exists(spark, path):  # nothing written yet; any other read error is raised
         return spark.createDataFrame([], schema)
+    df = spark.read.schema(StructType(schema.fields[:]).add("batch_id", "long")).parquet(path)
     return df.filter(F.col("batch_id") < before_batch).drop("batch_id")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
@@ -57,15 +61,18 @@ def incremental_load(spark: SparkSession, source: str, schema: StructType, targe
 
 
 def stream_score(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
-                 score: Callable[[DataFrame], DataFrame], max_files_per_trigger: int | None = None):
-    """Score every new row of ``source`` with ``score`` (a DataFrame ->
-    DataFrame function) and append the result to ``target``."""
+                 score: Callable[[DataFrame], DataFrame], max_files_per_trigger: int | None = None,
+                 label_col: str | None = None):
+    """Score the new rows of ``source`` with ``score`` (a DataFrame ->
+    DataFrame function) and append the result to ``target``; with
+    ``label_col`` only rows whose label is still NULL."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(score(batch), target, batch_id)
+        todo = batch if label_col is None else batch.where(F.col(label_col).isNull())
+        _write_batch(score(todo), target, batch_id)
 
     q = (reader.parquet(source).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
