@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "first_wins", "insert_ignore", "insert_ignore_table", "anti_not_in", "delete_not_in",
-    "delete_in", "cascade_delete", "unseen", "lookup_first", "with_surrogate_key",
+    "delete_in", "cascade_delete", "with_parent", "unseen", "lookup_first", "with_surrogate_key",
     "apply_defaults", "nulls_for_nan", "keys_distinct", "update_from",
 ]
 
@@ -48,17 +48,16 @@ def first_wins(df: DataFrame, keys: str | Sequence[str], order_by: Sequence) ->
     Rows whose key has a NULL part are all kept (NULL never conflicts).
     """
     keys = _cols(keys)
-    cols = df.columns
-    has_null = F.lit(False)
+    some_null = F.lit(False)
     for k in keys:
-        has_null = has_null | F.col(k).isNull()
-    complete = df.filter(~has_null)
-    incomplete = df.filter(has_null)
-    row = F.struct(*[F.col(c) for c in cols])
-    best = (complete.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-            .agg(F.min_by(row, _order_struct(order_by)).alias("_r"))
-            .select("_r.*"))
-    return best.unionByName(incomplete)
+        some_null = some_null | F.col(k).isNull()
+    # one branch: a row with an open key gets a filler of its own, so it meets no other
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    filler = F.when(some_null, F.monotonically_increasing_id()).alias("_open")
+    row = F.struct(*[F.col(c) for c in df.columns])
+    keyed = df.select(*named, filler, row.alias("_row"), _order_struct(order_by).alias("_order"))
+    best = keyed.groupBy(*[f"_k{i}" for i in range(len(keys))], "_open").agg(F.min_by("_row", "_order").alias("_r"))
+    return best.select("_r.*")
 
 
 def keys_distinct(df: DataFrame, keys: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
@@ -94,17 +93,23 @@ def insert_ignore(target: DataFrame, batch: DataFrame, pk: str | Sequence[str],
         rows = rows.select(*[F.substring(F.col(c), 1, lengths[c]).alias(c) if c in lengths else F.col(c)
                              for c in rows.columns])
     for child_cols, parent, parent_cols in fks:
-        child_cols, parent_cols = _cols(child_cols), _cols(parent_cols)
-        ref = keys_distinct(parent, parent_cols, child_cols)
-        null_fk = F.lit(False)
-        for c in child_cols:
-            null_fk = null_fk | F.col(c).isNull()
-        rows = rows.filter(null_fk).unionByName(rows.filter(~null_fk).join(ref, child_cols, "left_semi"))
+        rows = with_parent(rows, child_cols, parent, parent_cols)
     for key in [pk, *[_cols(u) for u in uniques]]:
         rows = first_wins(_anti_existing(rows, target, key), key, order_by)
     return rows.select(*batch.columns)
 
 
+def with_parent(df: DataFrame, child_cols, parent: DataFrame, parent_cols) -> DataFrame:
+    """Rows that satisfy a foreign key: the parent exists, or a part of the key
+    is NULL. One left join to the distinct parent keys, no second branch."""
+    child_cols, parent_cols = _cols(child_cols), _cols(parent_cols)
+    ref = keys_distinct(parent, parent_cols, child_cols).withColumn("_parent", F.lit(True))
+    some_null = F.lit(False)
+    for c in child_cols:
+        some_null = some_null | F.col(c).isNull()
+    return df.join(ref, child_cols, "left").where(some_null | F.col("_parent").isNotNull()).select(*df.columns)
+
+
 def insert_ignore_table(target: DataFrame, batch: DataFrame, pk, **kw) -> DataFrame:
     """The target after the insert: existing rows plus the accepted ones."""
     added = insert_ignore(target, batch, pk, **kw)

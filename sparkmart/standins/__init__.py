@@ -52,5 +52,5 @@ def load_all() -> dict[str, Query]:
     # import for side effects (registration), in inventory order
     from sparkmart.standins import (  # noqa: F401
         q_sources, q_project, q_joins, q_mutation, q_aggregates, q_scalar, q_hs, q_html,
-        q_text, q_ml, q_embed, q_streaming, q_jobs)
+        q_text, q_ml, q_embed, q_streaming, q_jobs, q_runs)
     return QUERIES

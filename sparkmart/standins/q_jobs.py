@@ -39,174 +39,3 @@ delta AS (
 def q_kok_price_delta(spark, d):
     from sparkmart.standins.frames import kok_prices
     return kok.price_delta(kok_prices(Tables(spark, d)), arrival=LINE_ORDER)
-
-
-# ------------------------------------------------------------------ composite runs
-from sparkmart.operators import relational as R  # noqa: E402
-from sparkmart.plans import runs  # noqa: E402
-from sparkmart.standins.frames import kok_prices  # noqa: E402
-
-AS_OF = "2024-01-15"
-# lineitem full order completed by l_partkey: a total order (rows equal on
-# all of it are identical), so surrogate ids are the same on every evaluation
-FULL_ORDER = LINE_ORDER + ["_pk"]
-
-
-def _hs_inputs(spark, d):
-    from sparkmart.standins.q_hs import _raw_schedule
-    t = Tables(spark, d)
-    raw_list = _raw_schedule(t)
-    clean_list, _ = __import__("sparkmart.plans.hs", fromlist=["hs"]).clean_schedule(
-        raw_list.filter(F.col("live_id") % 4 == 0))
-    info = t.region.select((F.col("r_regionkey") + 1).cast("int").alias("homeshopping_id"),
-                           F.col("r_name").alias("homeshopping_name"))
-    p = t.part
-    raw_product = p.select(F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("store_name"),
-                           F.concat(F.lit("₩"), F.round(F.col("p_retailprice") * 10).cast("bigint").cast("string")).alias("sale_price"),
-                           F.concat(F.col("p_size").cast("string"), F.lit("%")).alias("dc_rate"),
-                           F.round(F.col("p_retailprice") * 9).cast("bigint").cast("string").alias("dc_price"))
-    clean_product = raw_product.filter(F.col("product_id") % 3 == 0).select(
-        "product_id", "store_name", digits_or_zero_("sale_price"), digits_or_zero_("dc_rate", "int"), digits_or_zero_("dc_price"))
-    li = t.lineitem
-    detail = R.with_surrogate_key(
-        li.select(F.col("l_partkey").alias("product_id"), F.concat(F.lit("col"), F.col("l_linenumber").cast("string")).alias("detail_col"),
-                  F.col("l_returnflag").alias("detail_val"), *LINE_ORDER, F.col("l_partkey").alias("_pk")), "detail_id", FULL_ORDER).drop(*LINE_ORDER, "_pk").checkpoint(eager=True)
-    image = R.with_surrogate_key(
-        li.select(F.col("l_partkey").alias("product_id"), F.col("l_linenumber").alias("sort_order"),
-                  F.concat(F.col("l_orderkey").cast("string"), F.when(F.col("l_returnflag") == "R", F.lit("/format/webp"))
-                           .otherwise(F.lit(".jpg"))).alias("img_url"), *LINE_ORDER, F.col("l_partkey").alias("_pk")), "img_id", FULL_ORDER).drop(*LINE_ORDER, "_pk").checkpoint(eager=True)
-    raw = {"info": info, "list": raw_list, "product": raw_product,
-           "detail": detail.select("detail_id", "product_id", "detail_col", "detail_val"),
-           "image": image.select("img_id", "product_id", "sort_order", "img_url"),
-           "current": raw_list.filter(F.col("live_id") % 3 != 0).select("homeshopping_id", "live_date", "live_time", "product_id")}
-    clean = {"info": info.filter(F.col("homeshopping_id") <= 2), "list": clean_list, "product": clean_product,
-             "detail": raw["detail"].filter(F.col("product_id") % 5 == 0),
-             "image": raw["image"].filter(F.col("product_id") % 5 == 0)}
-    return raw, clean
-
-
-def digits_or_zero_(c, cast="bigint"):
-    from sparkmart.functions.text import digits_or_zero
-    return digits_or_zero(c).cast(cast).alias(c)
-
-
-def _hs_preprocess_sql():
-    from sparkmart.standins.q_hs import _RAW_SCHEDULE_SQL
-    return f"""
-WITH {_RAW_SCHEDULE_SQL},
-old AS (SELECT * FROM clean WHERE live_id % 4 = 0),
-new AS (SELECT * FROM clean WHERE live_id % 4 <> 0),
-new_ok AS (SELECT * FROM new n WHERE n.live_start_time IS NULL OR n.live_end_time IS NULL OR NOT EXISTS (
-             SELECT 1 FROM old o WHERE o.homeshopping_id = n.homeshopping_id AND o.live_date = n.live_date
-               AND o.live_start_time = n.live_start_time AND o.live_end_time = n.live_end_time
-               AND o.promotion_type = n.promotion_type AND o.product_id = n.product_id)),
-listing AS (SELECT homeshopping_id, product_id FROM old
-            UNION ALL SELECT homeshopping_id, product_id FROM new_ok WHERE live_start_time IS NULL OR live_end_time IS NULL
-            UNION ALL SELECT homeshopping_id, product_id FROM (
-              SELECT DISTINCT homeshopping_id, live_date, live_start_time, live_end_time, promotion_type, product_id
-              FROM new_ok WHERE live_start_time IS NOT NULL AND live_end_time IS NOT NULL)),
-product AS (SELECT p_partkey AS pid FROM part),
-detail AS (SELECT l_partkey AS pid FROM lineitem WHERE l_partkey % 5 = 0
-           UNION ALL SELECT pid FROM (SELECT DISTINCT l_partkey AS pid, l_linenumber FROM lineitem WHERE l_partkey % 5 <> 0)),
-image0 AS (SELECT l_partkey AS pid, CAST(l_orderkey AS VARCHAR) || CASE WHEN l_returnflag = 'R' THEN '/format/webp' ELSE '.jpg' END AS url
-           FROM lineitem WHERE l_partkey % 5 = 0
-           UNION ALL SELECT * FROM (SELECT DISTINCT l_partkey, CAST(l_orderkey AS VARCHAR) ||
-             CASE WHEN l_returnflag = 'R' THEN '/format/webp' ELSE '.jpg' END FROM lineitem WHERE l_partkey % 5 <> 0)),
-ch1 AS (SELECT DISTINCT product_id AS pid FROM listing WHERE homeshopping_id = 1),
-plain AS (SELECT pid, count(*) FILTER (WHERE url NOT LIKE '%format/avif%' AND url NOT LIKE '%format/webp%') AS n_plain
-          FROM image0 WHERE pid IN (SELECT pid FROM ch1) GROUP BY pid),
-image AS (SELECT i.* FROM image0 i LEFT JOIN plain p ON i.pid = p.pid
-          WHERE NOT ((i.url LIKE '%format/avif%' OR i.url LIKE '%format/webp%') AND coalesce(p.n_plain, 0) > 0)),
-d1 AS (SELECT * FROM detail WHERE pid IN (SELECT pid FROM image)),
-i1 AS (SELECT * FROM image WHERE pid IN (SELECT pid FROM d1)),
-gone AS (SELECT pid FROM product WHERE pid NOT IN (SELECT pid FROM d1)
-         INTERSECT SELECT pid FROM product WHERE pid NOT IN (SELECT pid FROM i1)),
-p1 AS (SELECT * FROM product WHERE pid NOT IN (SELECT pid FROM gone))
-SELECT 'info' AS table_name, count(*) AS n_rows FROM region
-UNION ALL SELECT 'rejected_list', 0
-UNION ALL SELECT 'current', count(*) FROM events WHERE event_id % 3 <> 0
-UNION ALL SELECT 'product', count(*) FROM p1
-UNION ALL SELECT 'detail', count(*) FROM d1
-UNION ALL SELECT 'image', count(*) FROM i1
-UNION ALL SELECT 'list', count(*) FROM listing WHERE product_id IN (SELECT pid FROM p1)
-"""
-
-
-@register("hs_preprocess", oracle=_hs_preprocess_sql())
-def q_hs_preprocess(spark, d):
-    raw, clean = _hs_inputs(spark, d)
-    out = runs.hs_preprocess(raw, clean, AS_OF)
-    from sparkmart.operators.aggregates import row_counts
-    return row_counts(out)
-
-
-def _kok_inputs(spark, d):
-    t = Tables(spark, d)
-    prices = R.with_surrogate_key(kok_prices(t), "kok_price_id", LINE_ORDER + ["kok_product_id"]).checkpoint(eager=True)
-    p = t.part
-    raw_product = p.select(F.col("p_partkey").cast("string").alias("kok_product_id"), F.col("p_brand").alias("kok_store_name"),
-                           F.concat("p_brand", F.lit(" "), "p_name").alias("kok_product_name"),
-                           F.concat(F.round(F.col("p_retailprice") * 10).cast("bigint").cast("string"), F.lit("원")).alias("kok_product_price"))
-    spec = [("kok_product_id", "kok_product_id", "bigint"), ("kok_store_name", "kok_store_name", "string"),
-            ("kok_product_name", "kok_product_name", "string"), ("kok_product_price", "kok_product_price", "num")]
-    clean_product = (raw_product.filter(F.col("kok_product_id").cast("bigint") % 4 == 0)
-                     .select(F.col("kok_product_id").cast("bigint").alias("kok_product_id"), "kok_store_name", "kok_product_name",
-                             F.lit(0.0).alias("kok_product_price")))
-    li = t.lineitem
-    image = R.with_surrogate_key(li.select(F.col("l_partkey").alias("kok_product_id"),
-                                           F.concat(F.lit("/img/"), F.col("l_orderkey").cast("string")).alias("kok_img_url"),
-                                           *LINE_ORDER, F.col("l_partkey").alias("_pk")), "kok_img_id", FULL_ORDER).drop(*LINE_ORDER, "_pk").checkpoint(eager=True)
-    detail = R.with_surrogate_key(li.filter(F.col("l_linenumber") <= 3).select(
-        F.col("l_partkey").alias("kok_product_id"), F.col("l_linestatus").alias("kok_detail_val"), *LINE_ORDER, F.col("l_partkey").alias("_pk")),
-        "kok_detail_id", FULL_ORDER).drop(*LINE_ORDER, "_pk").checkpoint(eager=True)
-    conv = t.conversations
-    review = conv.select(F.col("conv_id").alias("kok_product_id"), (F.col("conv_id") * 1000 + F.col("turn")).alias("kok_review_id"),
-                         F.col("role").alias("kok_nickname"), F.concat(F.lit("2024-01-"), (F.col("turn") % 28 + 1).cast("string")).alias("kok_review_date"))
-    raw = {"price": prices.select(*runs.PRICE_COLUMNS), "product": raw_product, "image": image, "detail": detail, "review": review}
-    clean = {"product": clean_product, "image": image.filter(F.lit(False)), "detail": detail.filter(F.lit(False)),
-             "review": review.filter(F.lit(False))}
-    return raw, clean, spec
-
-
-@register("kok_preprocess", oracle="""
-WITH prices AS (SELECT l_partkey AS pid FROM lineitem JOIN part ON l_partkey = p_partkey),
-product AS (SELECT p_partkey AS pid FROM part),
-image AS (SELECT l_partkey AS pid FROM lineitem WHERE l_partkey IN (SELECT pid FROM product)),
-detail AS (SELECT l_partkey AS pid FROM lineitem WHERE l_linenumber <= 3 AND l_partkey IN (SELECT pid FROM product)),
-review0 AS (SELECT conv_id AS pid, conv_id * 1000 + turn AS rid, role AS nick,
-                   '2024-01-' || CAST(turn % 28 + 1 AS VARCHAR) AS dt
-            FROM conversations WHERE conv_id IN (SELECT pid FROM product)),
-review AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nick, dt ORDER BY rid) AS rn FROM review0) WHERE rn = 1),
-d1 AS (SELECT * FROM detail WHERE NOT coalesce(pid NOT IN (SELECT pid FROM image), false)),
-i1 AS (SELECT * FROM image WHERE NOT coalesce(pid NOT IN (SELECT pid FROM d1), false)),
-gone AS (SELECT pid FROM product WHERE pid NOT IN (SELECT pid FROM d1)
-         INTERSECT SELECT pid FROM product WHERE pid NOT IN (SELECT pid FROM i1)),
-p1 AS (SELECT * FROM product WHERE pid NOT IN (SELECT pid FROM gone)),
-pr1 AS (SELECT * FROM prices WHERE NOT coalesce(pid NOT IN (SELECT pid FROM p1), false))
-SELECT 'price' AS table_name, count(*) AS n_rows FROM pr1
-UNION ALL SELECT 'product', count(*) FROM p1
-UNION ALL SELECT 'detail', count(*) FROM d1
-UNION ALL SELECT 'image', count(*) FROM i1
-UNION ALL SELECT 'review', count(*) FROM review WHERE pid IN (SELECT pid FROM p1)
-""")
-def q_kok_preprocess(spark, d):
-    raw, clean, spec = _kok_inputs(spark, d)
-    out = runs.kok_preprocess(raw, clean, spec)
-    from sparkmart.operators.aggregates import row_counts
-    return row_counts(out)
-
-
-@register("etl_run_audit")
-def q_etl_run_audit(spark, d):
-    hs_raw, hs_clean = _hs_inputs(spark, d)
-    kok_raw, kok_clean, spec = _kok_inputs(spark, d)
-    before = {f"hs.{k}": v for k, v in hs_clean.items()}
-    before.update({f"kok.{k}": v for k, v in kok_clean.items()})
-
-    def broken():
-        raise ValueError("stage failure is isolated")
-
-    stages = [("hs_preprocess", lambda: runs.hs_preprocess(hs_raw, hs_clean, AS_OF)),
-              ("kok_preprocess", lambda: runs.kok_preprocess(kok_raw, kok_clean, spec)),
-              ("failing_stage", broken)]
-    return runs.run_stages(spark, stages, before).select("stage", "status", "table_name", "before", "after", "added")

@@ -88,3 +88,32 @@ def test_streaming_target_read_errors_are_raised(spark, tmp_path):
 
 def test_keyword_split():
     assert split_keywords(["%탕", "양념%", "라면", "%", "%%"]) == (["양념%", "라면"], ["탕", "%"])
+
+
+def test_loaded_reviews_win_and_orphans_are_ignored(spark):
+    from sparkmart.plans import runs
+    price = spark.createDataFrame([(1, 1, "10%", 900), (2, 1, "10%", 900), (3, 2, "x", 5)],
+                                  "kok_price_id long, kok_product_id long, kok_discount_rate string, kok_discounted_price long")
+    product = spark.createDataFrame([("1", "A", "A n", "1원"), ("2", "B", "m", "2원")],
+                                    "kok_product_id string, kok_store_name string, kok_product_name string, kok_product_price string")
+    spec = [("kok_product_id", "kok_product_id", "bigint"), ("kok_store_name", "kok_store_name", "string"),
+            ("kok_product_name", "kok_product_name", "string"), ("kok_product_price", "kok_product_price", "num")]
+    old = spark.createDataFrame([(2, "B", "kept", 7.0)], "kok_product_id long, kok_store_name string, kok_product_name string, kok_product_price double")
+    kid = "long, kok_product_id long, "
+    image = spark.createDataFrame([(1, 1, "u"), (2, 1, "u"), (3, 9, "orphan")], f"kok_img_id {kid} kok_img_url string")
+    detail = spark.createDataFrame([(1, 1, "c", "v"), (2, 1, "c", "v")], f"kok_detail_id {kid} kok_detail_col string, kok_detail_val string")
+    review = spark.createDataFrame([(1, 1, "nick", "d"), (2, 1, "nick", "e")], f"kok_review_id {kid} kok_nickname string, kok_review_date string")
+    loaded = spark.createDataFrame([(9, 2, "nick", "d")], review.schema)
+    clean = {"price": price.limit(0).select("kok_price_id", "kok_product_id", F.lit(1).alias("kok_discount_rate"), "kok_discounted_price"),
+             "product": old, "image": spark.createDataFrame([(7, 2, "w")], image.schema),
+             "detail": spark.createDataFrame([(7, 2, "c", "v")], detail.schema), "review": loaded}
+    out = runs.kok_preprocess({"price": price, "product": product, "image": image, "detail": detail, "review": review}, clean, spec)
+    ids = {k: sorted(r[0] for r in v.select(v.columns[0] if k != "review" else "kok_review_id").collect()) for k, v in out.items()}
+    assert ids == {"price": [1, 3], "product": [1, 2], "image": [1, 7], "detail": [1, 7], "review": [2, 9]}
+    assert sorted(r.kok_product_name for r in out["product"].collect()) == ["kept", "n"]
+
+
+def test_listing_without_its_channel_is_ignored(spark):
+    df = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "id int, ch int")
+    info = spark.createDataFrame([(1,)], "ch int")
+    assert sorted(r.id for r in R.with_parent(df, ["ch"], info, ["ch"]).collect()) == [1, 3]
