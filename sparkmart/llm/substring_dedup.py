@@ -42,9 +42,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import gram_hashes, map_arrow, slices, word_hashes
+from sparkmart.llm.common import gram_hashes, map_arrow, mix64, slices, word_hashes, written
 
-GRAM = 12
+GRAM = 8
 
 
 def anchors_of(h: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -96,77 +96,80 @@ def find_anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return docs.select("row_key", "text").mapInArrow(run, "h bigint, row_key bigint, pos int")
 
 
-def _passages(found: DataFrame, window: int, gram: int) -> DataFrame:
-    """The windows around the shared anchors of each document: (h, salt, block,
-    row_key, pos, first, wins). A block row (block = 0) comes once per bucket."""
-    schema = pa.schema([("h", pa.int64()), ("salt", pa.int32()), ("block", pa.int32()), ("row_key", pa.int64()),
-                        ("pos", pa.int32()), ("first", pa.int32()), ("wins", pa.binary())])
+def _passages(found: DataFrame, window: int, gram: int, per_bucket: int) -> DataFrame:
+    """The windows of each document's shared anchors: (h, bucket, row_key,
+    place, wins). ``bucket`` is twice the salt, plus one unless the row is the
+    reference block, which comes once per salt; ``place`` is the anchor's
+    position * 512 + its distance from the first window * 2 + whether the
+    anchor has more than two occurrences."""
+    schema = pa.schema([("h", pa.int64()), ("bucket", pa.int32()), ("row_key", pa.int64()), ("place", pa.int64()),
+                        ("wins", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 4 << 20):
                 rows = []
-                at = part.column(part.schema.get_field_index("at")).to_pylist()
-                keys = part.column(part.schema.get_field_index("row_key")).to_pylist()
-                texts = part.column(part.schema.get_field_index("text")).to_pylist()
+                keys, texts, at = (part.column(i).to_pylist() for i in range(3))
                 for key, h, here in zip(keys, _per_document(texts), at):
                     hashes, pos, first, last = anchors_of(h, window, gram)
                     w = gram_hashes(h, window)
-                    where = {p: i for i, p in enumerate(pos.tolist())}
-                    for a in here:
-                        i = where[a["pos"]]
-                        wins = w[first[i]:last[i] + 1].tobytes()
-                        base = (int(hashes[i].view(np.int64)), key, int(pos[i]), int(first[i]), wins)
+                    i = np.searchsorted(pos, [a["pos"] for a in here])
+                    salt = mix64(pos[i].astype(np.uint64) ^ np.array(key, np.int64).view(np.uint64)).tolist()
+                    names = hashes.view(np.int64)[i].tolist()
+                    for j, a, f, z, name, p in zip(salt, here, first[i].tolist(), last[i].tolist(), names, pos[i].tolist()):
+                        salts = -(-a["n"] // per_bucket)
+                        place = p * 512 + (p - f) * 2 + (a["n"] > 2)
+                        wins = w[f:z + 1].tobytes()
                         if a["block"]:
-                            rows += [(base[0], s, 0, *base[1:]) for s in range(a["salts"])]
+                            rows += [(name, 2 * k, key, place, wins) for k in range(salts)]
                         else:
-                            rows.append((base[0], a["salt"], 1, *base[1:]))
+                            rows.append((name, 2 * (j % salts) + 1, key, place, wins))
                 for lo in range(0, len(rows), 20_000):
-                    cols = zip(*rows[lo:lo + 20_000])
-                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
+                    yield _rows(rows[lo:lo + 20_000], schema)
 
-    return found.select("row_key", "text", "at").mapInArrow(
-        run, "h bigint, salt int, block int, row_key bigint, pos int, first int, wins binary")
+    return found.select("row_key", "text", "at").mapInArrow(run, "h bigint, bucket int, row_key bigint, place bigint, wins binary")
 
 
 def _parse(passages: DataFrame, window: int) -> DataFrame:
     """Factor each passage against its reference block, which precedes it in
-    the partition's order: one pass, one block in memory. Gives the duplicate
-    windows' (row_key, start) bits as (row_key, first, mask) and the boundary
-    windows as (h, off, win, row_key, first)."""
-    kinds = pa.schema([("h", pa.int64()), ("off", pa.int32()), ("win", pa.int64()), ("row_key", pa.int64()),
-                       ("start", pa.int32()), ("length", pa.int32())])
+    the partition's order: one pass, one block in memory. Factors come as
+    (row_key, start, length), boundary windows also with (h, win)."""
+    schema = pa.schema([("h", pa.int64()), ("win", pa.int64()), ("row_key", pa.int64()), ("start", pa.int32()), ("length", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, block = None, None          # the (anchor, salt) and its block (row_key, pos, first, windows)
-        out: list[tuple] = []
+        group, block = None, None          # the (anchor, salt) and its block: (row_key, position, low, windows)
+        factors: set[tuple] = set()
+        edges: list[tuple] = []
         for batch in batches:
             cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for h, salt, kind, key, pos, first, wins in zip(*cols):
+            for h, bucket, key, place, wins in zip(*cols):
                 w = np.frombuffer(wins, np.int64)
-                if kind == 0:
-                    group, block = (h, salt), (key, pos, first, w)
+                pos, low, more = place >> 9, -(place >> 1 & 255), place & 1   # low: of the first window, from the anchor
+                if not bucket & 1:
+                    group, block = (h, bucket), (key, pos, low, w)
                     continue
-                low = first - pos          # offset of the first window from the anchor, at most 0
                 same = np.zeros(len(w), bool)
-                if group == (h, salt):
-                    b_low = block[2] - block[1]
-                    lo, hi = max(low, b_low), min(low + len(w), b_low + len(block[3]))
+                if group == (h, bucket - 1):
+                    lo, hi = max(low, block[2]), min(low + len(w), block[2] + len(block[3]))
                     if lo < hi:
-                        same[lo - low:hi - low] = w[lo - low:hi - low] == block[3][lo - b_low:hi - b_low]
-                edge = np.flatnonzero(np.diff(same, prepend=False, append=False))
-                for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist()):   # factors: window + (b - a - 1) words
-                    out.append((None, None, None, key, first + a, window + b - a - 1))
-                    out.append((None, None, None, block[0], block[1] + low + a, window + b - a - 1))
-                for i in np.flatnonzero(~same).tolist():
-                    out.append((h, low + i, int(w[i]), key, first + i, window))
-            if len(out) > 50_000:
-                yield _rows(out, kinds)
-                out = []
-        if out:
-            yield _rows(out, kinds)
-
-    return passages.mapInArrow(run, "h bigint, off int, win bigint, row_key bigint, start int, length int")
+                        same[lo - low:hi - low] = w[lo - low:hi - low] == block[3][lo - block[2]:hi - block[2]]
+                if same.all():
+                    runs = [(0, len(w))]
+                else:
+                    edge = np.flatnonzero(np.diff(same, prepend=False, append=False)).tolist()
+                    runs = list(zip(edge[0::2], edge[1::2]))
+                    if more:               # else the block is the only other occurrence
+                        edges += [(h, int(w[i]), key, pos + low + i, window) for i in np.flatnonzero(~same).tolist()]
+                for a, b in runs:          # factors of window + (b - a - 1) words
+                    factors.add((None, None, key, pos + low + a, window + b - a - 1))
+                    factors.add((None, None, block[0], block[1] + low + a, window + b - a - 1))
+            if len(factors) + len(edges) > 50_000:
+                yield _rows([*factors, *edges], schema)
+                factors, edges = set(), []
+        if factors or edges:
+            yield _rows([*factors, *edges], schema)
+
+    return passages.mapInArrow(run, "h bigint, win bigint, row_key bigint, start int, length int")
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -175,21 +178,20 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def duplicate_spans(docs: DataFrame, window: int = 35, gram: int = GRAM, per_bucket: int = 512) -> DataFrame:
     """(row_key, spans array<struct<start,length>>) in words, for documents with any."""
-    seen = find_anchors(docs, window, gram).withColumn("occ", F.xxhash64("row_key", "pos"))
-    shared = seen.groupBy("h").agg(F.count("*").alias("n"), F.min("occ").alias("block"), F.max("occ").alias("other"))
-    shared = shared.where(F.col("block") != F.col("other")).select(
-        "h", "block", F.ceil(F.col("n") / per_bucket).cast("int").alias("salts"))
-    at = seen.join(shared, "h").select("row_key", F.struct(
-        "pos", (F.col("occ") == F.col("block")).alias("block"), "salts",
-        F.pmod(F.col("occ"), F.col("salts")).cast("int").alias("salt")).alias("a"))
+    if window - gram > 255:
+        raise ValueError("a window may be 255 words longer than its anchor")
+    seen = find_anchors(docs, window, gram)
+    here = F.xxhash64("row_key", "pos")
+    shared = seen.groupBy("h").agg(F.count("*").cast("int").alias("n"), F.min(here).alias("block")).where("n > 1")
+    at = seen.join(shared, "h").select("row_key", F.struct("pos", "n", (here == F.col("block")).alias("block")).alias("a"))
     at = at.groupBy("row_key").agg(F.collect_set("a").alias("at"))  # at most one entry per anchor of the document
     found = docs.join(at, "row_key").dropDuplicates(["row_key"])
-    passages = _passages(found, window, gram).repartition("h", "salt").sortWithinPartitions("h", "salt", "block")
-    parsed = _parse(passages, window)
+    passages = _passages(found, window, gram, per_bucket).repartition("h", F.expr("bucket >> 1")).sortWithinPartitions("h", "bucket")
+    parsed = written(_parse(passages, window), "factors")
     factors = parsed.where(F.col("h").isNull()).select("row_key", "start", "length")
     edges = parsed.where(F.col("h").isNotNull())
-    twice = edges.groupBy("h", "off", "win").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    again = edges.join(twice, ["h", "off", "win"]).select("row_key", "start", "length")
+    twice = edges.groupBy("h", "win").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    again = edges.join(twice, ["h", "win"]).select("row_key", "start", "length")
     return factors.unionAll(again).groupBy("row_key").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
 
 
