@@ -199,8 +199,12 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     # 2. stars within band buckets, their components
     banded = nodes.select("node", F.posexplode("bands").alias("band", "h"))
     heads = banded.groupBy("band", "h").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    ties = banded.join(heads, ["band", "h"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    comp = components(ties).withColumnRenamed("label", "comp")
+    ties = banded.join(heads, ["band", "h"]).groupBy("node").agg(F.collect_set("head").alias("heads"))  # one per band at most
+    # a node is tied to the least of its heads, and so is each of its heads: the same components with few edges
+    least = F.array_min("heads")
+    star = ties.select(F.col("node").alias("a"), least.alias("b")).unionAll(
+        ties.select(F.explode("heads").alias("a"), least.alias("b")).distinct())
+    comp = components(star).withColumnRenamed("label", "comp")
     # 3. verification in square blocks
     blocks = comp.groupBy("comp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     placed = comp.join(blocks, "comp").join(nodes.select("node", "n_copies"), "node").withColumn(
