@@ -17,10 +17,16 @@ from sparkmart.session import ensure_checkpoint_dir, ship_package
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Workers can import the package and checkpoint() has its shared folder."""
+    """Workers can import the package, checkpoint() has its shared folder, and
+    Arrow batches of long texts stay small (unless the session sets a size)."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(8 << 20))
 
 
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -62,6 +68,19 @@ def slices(batch: pa.RecordBatch, max_bytes: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, step)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches joined up to about ``max_bytes``, larger ones sliced."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for part in slices(batch, max_bytes):
+            if held and sum(b.nbytes for b in held) + part.nbytes > max_bytes:
+                yield pa.concat_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir for files of one run."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sparkmart/{name}-{uuid.uuid4().hex[:12]}"

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm import elias_fano
-from sparkmart.llm.common import mix64, shared_folder, slices, word_hashes
+from sparkmart.llm.common import grouped, mix64, shared_folder, word_hashes
 
 END = np.uint64(0x0123456789ABCDEF)     # hash of the end token
 SPLIT = 1 << 18                         # followers of a context that are kept together, about
@@ -267,17 +267,16 @@ def _blocks(df: DataFrame, combine) -> DataFrame:
     schema = pa.schema([("shard", pa.int32()), ("block", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 24 << 20):
-                codes, counts, shard = combine(part.column(0).to_pylist())
-                order = np.lexsort((codes, shard))
-                codes, counts, shard = codes[order], counts[order], shard[order]
-                edge = np.flatnonzero(np.diff(shard, prepend=-1, append=-2))
-                cuts = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
-                if cuts:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(shard[a]) for a, _ in cuts], pa.int32()),
-                         pa.array([pack(codes[a:b], counts[a:b]) for a, b in cuts], pa.binary())], schema=schema)
+        for part in grouped(batches, 24 << 20):
+            codes, counts, shard = combine(part.column(0).to_pylist())
+            order = np.lexsort((codes, shard))
+            codes, counts, shard = codes[order], counts[order], shard[order]
+            edge = np.flatnonzero(np.diff(shard, prepend=-1, append=-2))
+            cuts = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
+            if cuts:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(shard[a]) for a, _ in cuts], pa.int32()),
+                     pa.array([pack(codes[a:b], counts[a:b]) for a, b in cuts], pa.binary())], schema=schema)
 
     return df.select("text").mapInArrow(run, "shard int, block binary")
 
@@ -393,10 +392,9 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 24 << 20):
-                n, known, base, total = score_texts(model, part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                                                  pa.array([model.total] * len(n), pa.int64()), pa.array(base), pa.array(total)], schema=schema)
+        for part in grouped(batches, 24 << 20):
+            n, known, base, total = score_texts(model, part.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
+                                              pa.array([model.total] * len(n), pa.int64()), pa.array(base), pa.array(total)], schema=schema)
 
     return src.mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

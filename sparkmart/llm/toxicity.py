@@ -122,14 +122,14 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     got = map_arrow(rows, run, "doc_id bigint, label int, idx array<int>, len array<int>").toArrow().combine_chunks()
     if not got.num_rows:
         return None
-    got = got.sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    idx, lens = got.column("idx").combine_chunks(), got.column("len").combine_chunks()
+    idx, lens = got.column("idx").chunk(0), got.column("len").chunk(0)
+    labels = got.column("label").to_numpy()
+    order = np.lexsort((labels, got.column("doc_id").to_numpy()))   # the same whatever the partitions
     flat = []
-    for i in range(got.num_rows):
+    for i in order.tolist():   # views of the gathered columns, nothing is copied
         n = lens[i].values.to_numpy()
-        flat.append((idx[i].values.to_numpy().copy(), np.repeat(np.arange(len(n), dtype=np.int32), n), len(n)))
-    labels = got.column("label").to_pylist()
-    del got, idx, lens
+        flat.append((idx[i].values.to_numpy(), np.repeat(np.arange(len(n), dtype=np.uint16 if len(n) < 65536 else np.int32), n), len(n)))
+    labels = labels[order].tolist()
     return train(flat, labels)
 
 
