@@ -44,6 +44,7 @@ from sparkmart.llm import elias_fano
 from sparkmart.llm.common import grouped, mix64, shared_folder, word_hashes
 
 END = np.uint64(0x0123456789ABCDEF)     # hash of the end token
+SLICE = 12 << 20                        # bytes of text that are counted or scored at a time
 SPLIT = 1 << 18                         # followers of a context that are kept together, about
 QUANTUM = 2048                          # steps per decade of the quantised log10 probabilities
 _U = np.uint64
@@ -267,7 +268,7 @@ def _blocks(df: DataFrame, combine) -> DataFrame:
     schema = pa.schema([("shard", pa.int32()), ("block", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in grouped(batches, 24 << 20):
+        for part in grouped(batches, SLICE):
             codes, counts, shard = combine(part.column(0).to_pylist())
             order = np.lexsort((codes, shard))
             codes, counts, shard = codes[order], counts[order], shard[order]
@@ -392,7 +393,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in grouped(batches, 24 << 20):
+        for part in grouped(batches, SLICE):
             n, known, base, total = score_texts(model, part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
                                               pa.array([model.total] * len(n), pa.int64()), pa.array(base), pa.array(total)], schema=schema)
