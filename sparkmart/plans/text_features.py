@@ -101,16 +101,22 @@ def word_terms(df: DataFrame, id_col: str, text: str, ngrams: tuple[int, int] =
     return toks.select(id_col, F.explode(terms).alias("term"))
 
 
+def char_ngrams_sql(text: str, lo: int, hi: int) -> str:
+    """SQL of the array of all character n-grams of an expression. The
+    characters are bound to a lambda variable, so the text is computed and
+    split once per row, and a gram costs its own length only."""
+    chars = f"filter(split({text}, ''), c -> c <> '')"
+    grams = ", ".join(
+        f"if(size(cs) >= {n}, transform(sequence(1, size(cs) - {n - 1}), i -> array_join(slice(cs, i, {n}), '')), array())"
+        for n in range(lo, hi + 1))
+    return f"flatten(transform(array({chars}), cs -> flatten(array({grams}))))"
+
+
 def char_terms(df: DataFrame, id_col: str, text: str, ngrams: tuple[int, int] = (3, 5)) -> DataFrame:
     """(id, term) rows of character n-grams of the lower-cased,
     white-space-normalised text (n-grams span spaces)."""
-    s = df.select(id_col, F.regexp_replace(F.lower(F.col(text)), r"(?U)\s\s+", " ").alias("s"))
-    out = None
-    for n in range(ngrams[0], ngrams[1] + 1):
-        idx = F.sequence(F.lit(1), F.length("s") - n + 1)
-        g = s.filter(F.length("s") >= n).select(id_col, F.explode(F.transform(idx, lambda i: F.substring("s", i, n))).alias("term"))
-        out = g if out is None else out.unionByName(g)
-    return out
+    norm = f"regexp_replace(lower(`{text}`), '(?U)\\\\s\\\\s+', ' ')"
+    return df.select(id_col, F.explode(F.expr(char_ngrams_sql(norm, *ngrams))).alias("term"))
 
 
 def tfidf(terms: DataFrame, id_col: str, n_docs: Column, min_df: int = 1,

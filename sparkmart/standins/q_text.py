@@ -146,7 +146,7 @@ def q_txt_char_df(spark, d):
 
 
 @register("ml_stratified_split", oracle="""
-WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR))) AS rn,
+WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR) || '#42')) AS rn,
                   count(*) OVER (PARTITION BY quality) AS n FROM labels)
 SELECT doc_id, quality, CASE WHEN rn <= floor(0.2 * n) THEN 'test' ELSE 'train' END AS part FROM r
 """)
