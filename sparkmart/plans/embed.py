@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.operators import relational as R
+from sparkmart.plans.text_features import char_ngrams_sql
 
 # Fixed value: width of the stored name vectors.
 EMBED_DIM = 384
@@ -22,11 +23,7 @@ def hashed_char_encoder(dim: int = EMBED_DIM, ngrams: tuple[int, int] = (2, 4)):
     """Default encoder: hashed character n-gram counts, L2-normalised -
     entirely JVM-side (HashingTF + Normalizer)."""
     def encode(df: DataFrame, text: str, out: str = "vector") -> DataFrame:
-        lo, hi = ngrams
-        s = F.lower(F.col(text))
-        grams = F.flatten(F.array(*[
-            F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(0))), lambda i, n=n: F.substring(s, i, n))
-            for n in range(lo, hi + 1)]))
+        grams = F.expr(char_ngrams_sql(f"lower(`{text}`)", *ngrams))
         tmp = df.withColumn("_grams", F.coalesce(grams, F.array().cast("array<string>")))
         tf = HashingTF(inputCol="_grams", outputCol="_tf", numFeatures=dim).transform(tmp)
         nv = Normalizer(inputCol="_tf", outputCol="_nv", p=2.0).transform(tf)

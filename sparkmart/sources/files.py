@@ -56,14 +56,15 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     HTML files (one row per file: ``url`` = file path, ``html`` = whole text)."""
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.xxhash64(F.input_file_name()).alias("page_id"),
                       F.input_file_name().alias("url"), F.col("value").alias("html"))
 
 
-def read_payloads(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """JSON payload files (one document per file) with an explicit schema."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_payloads(spark: SparkSession, path: str, schema: StructType | str, lines: bool = False) -> DataFrame:
+    """JSON payload files with an explicit schema: one document per file, or
+    with ``lines`` one per line (such files are split)."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
 def overwrite_snapshot(df: DataFrame, path: str) -> DataFrame:

@@ -60,3 +60,20 @@ SELECT vec_id, label FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)
 def q_emb_orphans(spark, d):
     t = Tables(spark, d)
     return E.drop_orphans(t.embeddings.select("vec_id", "label"), t.labels, "vec_id", "doc_id")
+
+
+# equal names have one vector, different names have different ones, and a name
+# that is part of a longer one shares its n-grams' places
+@register("emb_names", oracle="""
+SELECT p_name, count(*) AS n_rows, 1 AS n_vectors, 1 AS n_names_of_vector, true AS inside_extended FROM part GROUP BY p_name
+""")
+def q_emb_names(spark, d):
+    p = Tables(spark, d).part
+    encode = E.hashed_char_encoder()
+    v = encode(encode(p.select("p_name", F.concat("p_name", F.lit(" extra")).alias("longer")), "p_name"), "longer", "wider")
+    places = lambda c: F.filter(F.transform(c, lambda x, i: F.when(x > 0, i)), lambda i: i.isNotNull())
+    inside = F.size(F.array_except(places("vector"), places("wider"))) == 0
+    by_name = v.groupBy("p_name").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("vector").cast("int").alias("n_vectors"),
+                                      F.bool_and(inside).alias("inside_extended"))
+    names = v.groupBy("vector").agg(F.countDistinct("p_name").cast("int").alias("n_names_of_vector"), F.first("p_name").alias("p_name"))
+    return by_name.join(names, "p_name").select("p_name", "n_rows", "n_vectors", "n_names_of_vector", "inside_extended")

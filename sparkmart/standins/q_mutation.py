@@ -197,6 +197,9 @@ latest AS (SELECT kok_product_id, max(struct_pack(l_shipdate, l_orderkey, l_line
            FROM kok_prices WHERE kok_product_id IN (SELECT kok_product_id FROM changed) GROUP BY kok_product_id)
 SELECT 'changed' AS tbl, kok_product_id, CAST(NULL AS BIGINT) AS n FROM changed
 UNION ALL SELECT 'product_left', NULL, count(*) FROM part WHERE p_partkey NOT IN (SELECT kok_product_id FROM changed)
+UNION ALL SELECT t, l_partkey, count(*) FROM lineitem, (VALUES ('image_left'), ('detail_left')) v(t)
+  WHERE l_partkey NOT IN (SELECT kok_product_id FROM changed) GROUP BY ALL
+UNION ALL SELECT 'review_left', conv_id, count(*) FROM conversations WHERE conv_id NOT IN (SELECT kok_product_id FROM changed) GROUP BY ALL
 UNION ALL SELECT 'stamped', p.kok_product_id, NULL FROM kok_prices p JOIN latest m ON p.kok_product_id = m.kok_product_id
   AND struct_pack(l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
                   l_returnflag, l_linestatus) = m.mx
@@ -208,11 +211,15 @@ def q_kok_invalidate(spark, d):
         .otherwise(F.lit(None).cast("timestamp")))
     product = t.part.select(F.col("p_partkey").alias("kok_product_id"), F.col("p_name").alias("kok_product_name"))
     image = t.lineitem.select(F.col("l_partkey").alias("kok_product_id"), F.col("l_orderkey").alias("img_ref"))
-    detail = t.lineitem.filter(F.col("l_linenumber") <= 2).select(F.col("l_partkey").alias("kok_product_id"),
+    review = t.conversations.select(F.col("conv_id").alias("kok_product_id"), "turn")
+    detail = t.lineitem.select(F.col("l_partkey").alias("kok_product_id"),
                                                                  F.col("l_returnflag").alias("detail_val"))
-    out = kok.invalidate_changed({"price": prices, "product": product, "image": image, "detail": detail},
+    out = kok.invalidate_changed({"price": prices, "product": product, "image": image, "detail": detail, "review": review},
                                  product, NOW, arrival=LINE_ORDER)
-    return (out["changed"].select(F.lit("changed").alias("tbl"), "kok_product_id", F.lit(None).cast("long").alias("n"))
+    left = [out[k].groupBy("kok_product_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"{k}_left").alias("tbl"), "kok_product_id", "n")
+            for k in ("image", "detail", "review")]
+    return left[0].unionByName(left[1]).unionByName(left[2]).unionByName(
+            out["changed"].select(F.lit("changed").alias("tbl"), "kok_product_id", F.lit(None).cast("long").alias("n"))
             .unionByName(out["product"].groupBy().agg(F.count(F.lit(1)).alias("n"))
                          .select(F.lit("product_left").alias("tbl"), F.lit(None).cast("long").alias("kok_product_id"), "n"))
             .unionByName(out["price"].filter(F.col("renew_at") == F.lit(NOW).cast("timestamp"))

@@ -103,7 +103,7 @@ def q_src_seed_dim(spark, d):
 WITH b AS (
   SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE l_partkey END AS l_partkey,
          l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
-  FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01'
+  FROM lineitem
 ),
 r AS (
   SELECT *, CASE WHEN l_partkey IS NULL THEN 'not_null:l_partkey'
@@ -122,8 +122,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN rn > 1 THEN 'du
 """)
 def q_snk_append_rejects(spark, d):
     li = Tables(spark, d).lineitem
-    b = li.filter(F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz")) \
-        .withColumn("l_partkey", F.when(F.col("l_partkey") % 13 == 0, F.lit(None)).otherwise(F.col("l_partkey")))
+    b = li.withColumn("l_partkey", F.when(F.col("l_partkey") % 13 == 0, F.lit(None)).otherwise(F.col("l_partkey")))
     checked = files.append_with_rejects(b, {
         "not_null:l_partkey": F.col("l_partkey").isNull(),
         "enum:l_returnflag": ~F.col("l_returnflag").isin("R", "A", "N"),
@@ -266,3 +265,27 @@ def q_contract_audit(spark, d):
                  enums={"l_returnflag": ["R", "A"]}, lengths={"l_linestatus": 1},
                  fks=[ForeignKey(["l_orderkey"], t.orders.filter(F.col("o_orderkey") % 10 != 0), ["o_orderkey"])])
     return audit_contract(li, c)
+
+
+@register("src_stored_files", oracle="""
+SELECT 'page' AS kind, 'page ' || p_partkey AS a, p_brand AS b FROM part WHERE p_partkey < 40
+UNION ALL SELECT 'payload', CAST(p_partkey AS VARCHAR), p_name FROM part
+""")
+def q_src_stored_files(spark, d):
+    """Pages from a folder of HTML files (one per page, so a few of them) and
+    payloads from JSON files, read back by the sources."""
+    import uuid
+
+    from sparkmart.plans import html_jobs
+    from sparkmart.session import scratch_path
+    p = Tables(spark, d).part
+    base = scratch_path(spark, f"stored-{uuid.uuid4().hex[:12]}")
+    html = F.concat(F.lit("<html><head><title>page "), F.col("p_partkey").cast("string"), F.lit("</title></head><body>\n<h1>"),
+                    "p_brand", F.lit("</h1></body></html>"))
+    pages = p.where("p_partkey < 40").select("p_partkey", html.alias("value"))
+    pages.repartition("p_partkey").write.partitionBy("p_partkey").text(f"{base}/pages")
+    p.select(F.col("p_partkey").cast("string").alias("id"), F.struct(F.col("p_name").alias("name")).alias("goods")).write.json(f"{base}/payloads")
+    fields = html_jobs.page_fields(files.read_pages(spark, f"{base}/pages/*"))
+    got = files.read_payloads(spark, f"{base}/payloads", "id string, goods struct<name:string>", lines=True)
+    return fields.select(F.lit("page").alias("kind"), F.col("title").alias("a"), F.col("h1").alias("b")).unionByName(
+        got.select(F.lit("payload").alias("kind"), F.col("id").alias("a"), F.col("goods.name").alias("b")))
