@@ -99,10 +99,12 @@ def train(flat: list[tuple[np.ndarray, np.ndarray, int]], labels: list[int], ste
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", eligible: Column | None = None, per_class: int = 3000, clean_factor: int = 2) -> Model | None:
+        label_col: str = "toxic", eligible: Column | None = None, per_class: int = 3000, clean_factor: int = 2,
+        max_chars: int = 200_000) -> Model | None:
     """Train on a bounded sample of the documents that ``labels`` marks, about
     ``per_class`` toxic and ``clean_factor`` times as many clean; ``eligible`` speaks of the column ``doc_id``. An id labelled twice counts
-    by its largest label."""
+    by its largest label. Texts of over ``max_chars`` characters are not learnt
+    from (the sample is held on the driver); they are scored like all others."""
     lab = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     lab = lab.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     lab = lab.groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -112,7 +114,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if eligible is not None:
         docs = docs.where(eligible)
-    rows = docs.where(F.col("text").isNotNull()).join(ids, "doc_id").select("doc_id", "text", "label")
+    rows = docs.where(F.length("text") <= max_chars).join(ids, "doc_id").select("doc_id", "text", "label")
 
     def run(cols):
         bags = [bag(t) for t in cols["text"]]
