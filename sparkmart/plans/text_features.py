@@ -83,7 +83,8 @@ def word_terms(df: DataFrame, id_col: str, text: str, ngrams: tuple[int, int] =
     characters of at least ``min_chars``). Each text is tokenised once; all
     n-gram orders are generated from that one token array and exploded once."""
     pat = WORD_RE if min_chars <= 1 else r"[\p{L}\p{N}_]{%d,}" % min_chars
-    toks = df.select(id_col, F.regexp_extract_all(F.lower(F.col(text)), F.lit(pat), 0).alias("toks"))
+    # dealt by id before the terms are spread out: counting terms per id then needs no shuffle of its own
+    toks = df.repartition(id_col).select(id_col, F.regexp_extract_all(F.lower(F.col(text)), F.lit(pat), 0).alias("toks"))
     t = F.col("toks")
     arrays = []
     for n in range(ngrams[0], ngrams[1] + 1):
@@ -119,19 +120,26 @@ def char_terms(df: DataFrame, id_col: str, text: str, ngrams: tuple[int, int] =
     return df.select(id_col, F.explode(F.expr(char_ngrams_sql(norm, *ngrams))).alias("term"))
 
 
+BROADCAST_TERMS = 1_000_000
+
+
 def tfidf(terms: DataFrame, id_col: str, n_docs: Column, min_df: int = 1,
           max_features: int | None = None) -> DataFrame:
     """Smooth TF-IDF with L2 row normalisation:
     idf = ln((1 + n) / (1 + df)) + 1, w = tf * idf / ||tf * idf||.
 
     All steps are aggregates / joins (tf per (doc, term); df per term,
-    map-side combined). ``max_features`` keeps the most frequent terms
+    map-side combined). A vocabulary of up to ``BROADCAST_TERMS`` terms is
+    broadcast, a larger one joined by term. ``max_features`` keeps the most frequent terms
     (ties by term), computed by a distributed sort + limit."""
     tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).filter(F.col("df") >= min_df)
     if max_features:
         df_ = df_.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
     vocab = df_.select("term", "df", (F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + 1).alias("idf"))
+    vocab = vocab.checkpoint(eager=True)
+    if vocab.count() <= BROADCAST_TERMS:      # counted, about 60 bytes a term: (id, term) rows stay where they are
+        vocab = F.broadcast(vocab)
     w = tf.join(vocab, "term").withColumn("raw", F.col("tf") * F.col("idf"))
     # per-document norm as a window: one shuffle by document (a document's
     # terms are bounded by its length), and a following per-document
