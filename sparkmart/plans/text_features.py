@@ -26,17 +26,23 @@ def _arr(words: Sequence[str]) -> Column:
     return F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
 
 
+def _once(text: Column, fn) -> Column:
+    """``fn`` of the text bound to a variable: inside a keyword loop the text's
+    own expression would otherwise be computed for every keyword."""
+    return F.element_at(F.transform(F.array(text), fn), 1)
+
+
 def n_present(text: Column, keywords: Sequence[str]) -> Column:
     """How many distinct keywords occur in the text (``sum(kw in t)``)."""
-    return F.size(F.filter(_arr(keywords), lambda k: F.instr(text, k) > 0))
+    return _once(text, lambda t: F.size(F.filter(_arr(keywords), lambda k: F.instr(t, k) > 0)))
 
 
 def n_occurrences(text: Column, keywords: Sequence[str]) -> Column:
     """Total non-overlapping occurrences of all keywords (``sum(t.count(kw))``)."""
     if not keywords:
         return F.lit(0)
-    return F.aggregate(_arr(keywords), F.lit(0),
-                       lambda acc, k: acc + ((F.length(text) - F.length(F.replace(text, k, F.lit("")))) / F.length(k)).cast("int"))
+    return _once(text, lambda t: F.aggregate(
+        _arr(keywords), F.lit(0), lambda acc, k: acc + ((F.length(t) - F.length(F.replace(t, k, F.lit("")))) / F.length(k)).cast("int")))
 
 
 def food_features(df: DataFrame, text: str, food: Sequence[str], notfood: Sequence[str]) -> DataFrame:
