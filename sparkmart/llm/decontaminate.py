@@ -3,7 +3,9 @@
 Texts and items are lower-cased and cut into words of letters and digits. Of a
 document, windows as long as an item are compared with the items by the
 multiset of their five-word shingles (an item of fewer words is one shingle):
-weighted Jaccard similarity, a shingle's weight being how often it occurs.
+weighted Jaccard similarity, a shingle's weight being how often it occurs. A
+document shorter than an item has one window for it, its whole text, if that
+has the ``threshold * m`` shingles without which it cannot reach the threshold.
 
 1. Window selection, without loss. At threshold t a window and an item of m
    shingles each share at least m * 2t / (1 + t); so at most
@@ -11,15 +13,19 @@ weighted Jaccard similarity, a shingle's weight being how often it occurs.
    not the item's. Looking at every ``stride``-th shingle of a document
    therefore meets a shared one, and words inserted or dropped between it and
    the window's start number at most ``misses(m)``: only starts that near to
-   the aligned one can reach the threshold.
+   the aligned one can reach the threshold. A whole text shorter than the item
+   loses d shingles of the m, and has d / (1 + t) fewer that may miss: the
+   stride meets a shared one there too.
 2. Each distinct window gets a 64-bit SimHash of its shingles. Fingerprints are
    cut into eight blocks of 8 bits; within distance r one block differs by at
    most r // 8 bits, so joining the windows' blocks with all such variants of
    the items' blocks finds every pair within the radius. ``radius`` comes from
-   the threshold and the wanted recall.
+   the threshold and the wanted recall (vectors of unlike length at one
+   similarity have the larger cosine, so a short text keeps it too).
 3. Pairs within the radius are verified exactly on their shingle multisets.
 
-Cases: null or empty texts have no window; null items match nothing; an item
+Cases: null or empty texts, and texts without ``threshold * m`` shingles, have no
+window; null items match nothing; an item
 repeated under one id counts once; rows repeated under one id with one text
 are one document; extra columns are not read; ties between windows of a
 document and an item go to the leftmost.
@@ -105,7 +111,7 @@ def matches(docs: DataFrame, bench: DataFrame, threshold: float = 0.8, recall: f
             item_text: str = "text") -> DataFrame:
     """(row_key, doc_id, item_id, similarity, start, n_words): per document and
     item its most similar window, where that reaches the threshold. ``row_key``
-    is a hash of id and text."""
+    is a hash of id and text; ``n_words`` is the window's length."""
     r = radius(threshold, recall)
     items = _items(bench, item_col, item_text)
     m = F.size("sh")
@@ -133,9 +139,11 @@ def matches(docs: DataFrame, bench: DataFrame, threshold: float = 0.8, recall: f
     if keys.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
     shift = _misses(F.col("m"), threshold)
-    first = F.greatest(F.lit(0), F.col("pos") - F.col("ipos") - shift)
-    last = F.least(F.col("len") - F.col("n"), F.col("pos") - F.col("ipos") + shift)
-    starts = (seen.join(keys, "h").where(first <= last)
+    short = F.col("len") < F.col("n")    # one window, the whole text
+    enough = F.col("len") - F.least(F.lit(SHINGLE), F.col("n")) + 1 >= threshold * F.col("m") - 1e-9
+    first = F.when(short, 0).otherwise(F.greatest(F.lit(0), F.col("pos") - F.col("ipos") - shift))
+    last = F.when(short, 0).otherwise(F.least(F.col("len") - F.col("n"), F.col("pos") - F.col("ipos") + shift))
+    starts = (seen.join(keys, "h").where((first <= last) & (~short | enough))
               .select("row_key", "n", F.explode(F.sequence(first, last)).alias("start")))
     starts = starts.groupBy("row_key").agg(F.collect_set(F.struct("n", "start")).alias("at"))
     windows = (base.join(starts, "row_key").dropDuplicates(["row_key"])
@@ -172,11 +180,11 @@ def matches(docs: DataFrame, bench: DataFrame, threshold: float = 0.8, recall: f
     both = F.size(F.array_intersect("set", "item_set"))
     sim = both / (F.size("set") + F.size("item_set") - both)
     verified = pairs.select("n", "content", "item_id", sim.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
-    found = windows.select("row_key", "doc_id", "n", "start", "content").join(verified, ["n", "content"])
-    best = F.max_by(F.struct("similarity", "start", "n"), F.struct("similarity", -F.col("start"))).alias("b")
+    found = windows.select("row_key", "doc_id", "n", "start", "content", F.size("win").alias("n_words")).join(verified, ["n", "content"])
+    best = F.max_by(F.struct("similarity", "start", "n_words"), F.struct("similarity", -F.col("start"))).alias("b")
     return found.groupBy("row_key", "doc_id", "item_id").agg(best).select(
         "row_key", "doc_id", "item_id", F.col("b.similarity").alias("similarity"), F.col("b.start").alias("start"),
-        F.col("b.n").alias("n_words"))
+        F.col("b.n_words").alias("n_words"))
 
 
 def clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

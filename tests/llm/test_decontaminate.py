@@ -77,3 +77,41 @@ def test_empty_tables(spark):
 def test_radius_keeps_pairs_at_the_threshold():
     assert 10 < decontaminate.radius(0.8, 0.999) < 24
     assert decontaminate.radius(1.0, 0.999) == 0
+
+
+def whole(docs, items, threshold=0.8):
+    """Like ``brute``, and a text shorter than the item is one window."""
+    out = {}
+    for d, t in docs:
+        w = _norm(t)
+        for i, text in items:
+            v = _norm(text)
+            n, k = len(v), min(5, len(v))
+            if not n or len(w) < k:
+                continue
+            bag = _bag(v, k)
+            best = max((_similarity(_bag(w[s:s + n], k), bag), -s) for s in range(max(len(w) - n, 0) + 1))
+            if best[0] >= threshold - 1e-12:
+                out[d, i] = (round(best[0], 9), -best[1], min(n, len(w)))
+    return out
+
+
+def _found(spark, docs, items):
+    return {(r["doc_id"], r["item_id"]): (round(r["similarity"], 9), r["start"], r["n_words"])
+            for r in decontaminate.matches(H.docs(spark, docs), H.docs(spark, items, BENCH)).collect()}
+
+
+def test_documents_shorter_than_the_item(spark):
+    items = [(n, " ".join(f"w{n}x{j}" for j in range(n))) for n in (2, 5, 6, 9, 15, 29, 60, 61)]
+    docs = []
+    for n, text in items:
+        w = text.split()
+        for cut in (1, 2, 3, 6, 11, 12, 13):
+            if cut < n:
+                docs += [(1000 * n + 10 * cut, " ".join(w[cut:])), (1000 * n + 10 * cut + 1, " ".join(w[:-cut])),
+                         (1000 * n + 10 * cut + 2, " ".join(["new"] + w[1:n - cut]))]
+    want = whole(docs, items)
+    assert want[60010, 60] == (round(55 / 56, 9), 0, 59) and len(want) > 25
+    assert _found(spark, docs, items) == want
+    kept = decontaminate.clean(H.docs(spark, docs), H.docs(spark, items, BENCH)).select("doc_id").collect()
+    assert {r[0] for r in kept} == {d for d, _ in docs} - {d for d, _ in want}
