@@ -7,15 +7,14 @@ weighted Jaccard similarity, a shingle's weight being how often it occurs. A
 document shorter than an item has one window for it, its whole text, if that
 has the ``threshold * m`` shingles without which it cannot reach the threshold.
 
-1. Window selection, without loss. At threshold t a window and an item of m
-   shingles each share at least m * 2t / (1 + t); so at most
-   ``misses(m) = floor(m * (1 - t) / (1 + t))`` of the window's shingles are
-   not the item's. Looking at every ``stride``-th shingle of a document
-   therefore meets a shared one, and words inserted or dropped between it and
-   the window's start number at most ``misses(m)``: only starts that near to
-   the aligned one can reach the threshold. A whole text shorter than the item
-   loses d shingles of the m, and has d / (1 + t) fewer that may miss: the
-   stride meets a shared one there too.
+1. Window selection, without loss, whatever the order of the shared passages.
+   At threshold t a window of w and an item of m shingles share at least
+   ``need = t * (w + m) / (1 + t)``; so of a window as long as the item at most
+   ``misses(m) = floor(m * (1 - t) / (1 + t))`` shingles are not the item's.
+   Looking at every ``stride``-th shingle of a document therefore meets a
+   shared one. (A whole text shorter than the item by d has d / (1 + t) fewer
+   that may miss, and is met too.) Of the documents met, all shingles are looked
+   up: windows are taken that hold ``need`` shingles of items of their length.
 2. Each distinct window gets a 64-bit SimHash of its shingles. Fingerprints are
    cut into eight blocks of 8 bits; within distance r one block differs by at
    most r // 8 bits, so joining the windows' blocks with all such variants of
@@ -38,6 +37,8 @@ from math import acos, comb, pi
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm.common import written
+
 SHINGLE = 5
 BLOCKS, BITS = 8, 8
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -95,6 +96,13 @@ def _counted(sh):
     return F.transform(s, lambda x, i: F.xxhash64(x, i + 1 - F.array_position(s, x)))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionAll(x)
+    return out
+
+
 def _items(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
     it = bench.select(F.col(id_col).alias("item_id"), _words(text_col).alias("words"))
     it = it.where(F.size("words") > 0).dropDuplicates(["item_id", "words"])
@@ -123,7 +131,7 @@ def matches(docs: DataFrame, bench: DataFrame, threshold: float = 0.8, recall: f
     if not strides:
         strides = {SHINGLE: 1}
 
-    # 1. documents' shingles that are some item's, and the window starts they allow
+    # 1. documents that share a looked-up shingle with items of n words
     words = base.select("row_key", _words().alias("words"))
     looked = []
     for size, stride in strides.items():
@@ -131,25 +139,34 @@ def matches(docs: DataFrame, bench: DataFrame, threshold: float = 0.8, recall: f
         at = F.sequence(F.lit(1), F.size("words") - size + 1, F.lit(max(1, stride)))
         looked.append(enough.select("row_key", F.size("words").alias("len"),
                                     F.explode(F.transform(at, _look_up("words", size))).alias("s")))
-    seen = looked[0]
-    for x in looked[1:]:
-        seen = seen.unionAll(x)
-    seen = seen.select("row_key", "len", "s.pos", "s.h")
-    keys = items.select("n", F.size("sh").alias("m"), F.posexplode("sh").alias("ipos", "h")).distinct()
+    keys = items.select("n", F.size("sh").alias("m"), F.explode("sh").alias("h")).distinct()
     if keys.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    shift = _misses(F.col("m"), threshold)
-    short = F.col("len") < F.col("n")    # one window, the whole text
-    enough = F.col("len") - F.least(F.lit(SHINGLE), F.col("n")) + 1 >= threshold * F.col("m") - 1e-9
-    first = F.when(short, 0).otherwise(F.greatest(F.lit(0), F.col("pos") - F.col("ipos") - shift))
-    last = F.when(short, 0).otherwise(F.least(F.col("len") - F.col("n"), F.col("pos") - F.col("ipos") + shift))
-    starts = (seen.join(keys, "h").where((first <= last) & (~short | enough))
-              .select("row_key", "n", F.explode(F.sequence(first, last)).alias("start")))
-    starts = starts.groupBy("row_key").agg(F.collect_set(F.struct("n", "start")).alias("at"))
-    windows = (base.join(starts, "row_key").dropDuplicates(["row_key"])
-               .select("row_key", "doc_id", _words().alias("words"), F.explode("at").alias("at"))
-               .select("row_key", "doc_id", F.col("at.n").alias("n"), F.col("at.start").alias("start"),
-                       F.slice("words", F.col("at.start") + 1, F.col("at.n")).alias("win"))
+    held = F.col("len") - F.least(F.lit(SHINGLE), F.col("n")) + 1    # shingles of the whole document
+    met = _union(looked).select("row_key", "len", "s.h").join(keys, "h").where(held >= threshold * F.col("m") - 1e-9)
+    met = met.groupBy("row_key").agg(F.collect_set("n").alias("ns"))
+    met = written(base.join(met, "row_key").dropDuplicates(["row_key"]).select(
+        "row_key", "doc_id", _words().alias("words"), "ns"), "decontaminate")
+
+    # all their shingles that are such items', and the windows that hold enough of them
+    looked = [met.where(F.size("words") >= size).select(
+        "row_key", "ns", F.size("words").alias("len"),
+        F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - size + 1), _look_up("words", size))).alias("s"))
+        for size in strides]
+    shared = _union(looked).select("row_key", "ns", "len", "s.pos", "s.h").join(keys, "h").where(F.array_contains("ns", F.col("n")))
+    shared = shared.groupBy("row_key", "len", "n", "m").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    shared = shared.withColumn("held", held).withColumn("w", F.least(F.col("m"), F.col("held")))
+    need = F.ceil(threshold * (F.col("w") + F.col("m")) / (1 + threshold) - 1e-9).cast("int")
+    shared = shared.withColumn("need", F.greatest(F.lit(1), need)).where(F.size("at") >= F.col("need"))
+    # each run of ``need`` such places, and the starts of windows that hold it
+    runs = F.transform(F.sequence(F.col("need"), F.size("at")), lambda j: F.struct(
+        F.greatest(F.lit(0), F.element_at("at", j) - F.col("w") + 1).alias("first"),
+        F.least(F.element_at("at", j - F.col("need") + 1), F.col("held") - F.col("w")).alias("last")))
+    starts = F.transform(F.filter(runs, lambda x: x["first"] <= x["last"]), lambda x: F.sequence(x["first"], x["last"]))
+    starts = shared.select("row_key", "n", F.array_distinct(F.flatten(starts)).alias("starts"))
+    windows = (met.join(starts, "row_key")
+               .select("row_key", "doc_id", "words", "n", F.explode("starts").alias("start"))
+               .select("row_key", "doc_id", "n", "start", F.slice("words", F.col("start") + 1, F.col("n")).alias("win"))
                .withColumn("content", F.md5(F.concat_ws(" ", "win"))))
 
     # 2. distinct windows, fingerprints, Hamming blocks

@@ -115,3 +115,27 @@ def test_documents_shorter_than_the_item(spark):
     assert _found(spark, docs, items) == want
     kept = decontaminate.clean(H.docs(spark, docs), H.docs(spark, items, BENCH)).select("doc_id").collect()
     assert {r[0] for r in kept} == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_items_whose_parts_are_in_another_order(spark):
+    items = [(n, " ".join(f"w{n}x{j}" for j in range(n))) for n in (7, 40, 60, 61, 90)]
+    items += [(100, " ".join(f"r{j % 30}" for j in range(80)))]     # a passage repeated within the item
+    rng, docs = random.Random(9), []
+    for n, text in items:
+        w = text.split()
+        for i in range(12):
+            cuts = sorted(rng.sample(range(1, len(w)), rng.choice([1, 1, 2])))
+            parts = [w[a:b] for a, b in zip([0] + cuts, cuts + [len(w)])]
+            rng.shuffle(parts)
+            v = [x for p in parts for x in p]
+            if i % 3 == 0:
+                v[rng.randrange(len(v))] = "changed"
+            if i % 3 == 1:
+                v.insert(rng.randrange(len(v)), "added")
+            pad = [f"p{rng.randrange(50)}" for _ in range(rng.randrange(40) if i % 4 else 0)]
+            docs.append((1000 * n + i, " ".join(pad + v + pad[:7])))
+    w = items[2][1].split()
+    docs.append((1, " ".join(["before"] * 20 + w[30:] + w[:30] + ["after"] * 20)))
+    want = whole(docs, items)
+    assert want[1, 60] == (round(52 / 60, 9), 20, 60) and len(want) > 40
+    assert _found(spark, docs, items) == want
