@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import bpe, decontaminate, jaccard_join, language_id, mtree_search, ngram_lm, quote_linking, substring_dedup, token_counts, toxicity
+from sparkmart.llm import (
+    bpe, decontaminate, jaccard_join, language_id, lexical_search, mtree_search, ngram_lm, quote_linking, substring_dedup, token_counts,
+    toxicity,
+)
 from sparkmart.llm.common import held_out, prepare
 
 
@@ -207,3 +210,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out("doc_id", 7, 2)
     got = ngram_lm.score(docs, ngram_lm.build(docs.where(~out)))
     return got.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+LEXICAL_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT count(*) FILTER (len(t) > 0) AS n_all, sum(len(t)) AS l_all FROM d),
+asked AS (SELECT row_number() OVER () AS qid, item_id,
+                 regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+          FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT qid, item_id, term, count(*) AS c FROM (SELECT qid, item_id, unnest(t) AS term FROM asked) GROUP BY ALL),
+tf AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(t) AS n, unnest(t) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, n_all),
+hit AS (SELECT qid, item_id, rid, doc_id,
+               CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_all) // l_all)))) AS BIGINT) AS score
+        FROM q JOIN tf USING (term) JOIN w USING (term), s GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM hit WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@register("op13_lexical_search", LEXICAL_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
