@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.llm import (
-    bpe, decontaminate, jaccard_join, language_id, lexical_search, mtree_search, ngram_lm, quote_linking, substring_dedup, token_counts,
-    toxicity,
+    bpe, decontaminate, jaccard_join, language_id, lexical_search, mtree_search, ngram_lm, quote_linking, simhash_dedup,
+    substring_dedup, token_counts, toxicity,
 )
 from sparkmart.llm.common import held_out, prepare
 
@@ -237,3 +237,8 @@ FROM hit WHERE score > 0 QUALIFY rank <= 20
 @register("op13_lexical_search", LEXICAL_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_simhash_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.dedup(table(spark, sf_dir, "documents"))
