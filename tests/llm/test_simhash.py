@@ -79,7 +79,7 @@ def test_layout_follows_the_principle_and_avoids_a_repeated_partition():
             assert sum(t for _, t in parts) == 3 - len(parts) + 1 and min(t for _, t in parts) >= -1
     groups = simhash_dedup.bit_groups(tied, 4)
     assert any(set(range(16)) <= set(g) | {63} for g in groups)                         # the tied bits lie together
-    assert simhash_dedup.allocate([[0, 5, 9], [0, 1, 2], [0, 7, 8]], 0) == (6, [0, 1, -1])
+    assert simhash_dedup.allocate([[0, 5, 9], [0, 1, 2], [0, 7, 8]], 0) == (7, [0, 1, -1])
 
 
 def test_empty_table_and_clashing_columns(spark):
