@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.llm import (
-    bpe, decontaminate, jaccard_join, language_id, lexical_search, mtree_search, ngram_lm, quote_linking, simhash_dedup,
-    substring_dedup, token_counts, toxicity,
+    bpe, collocations, decontaminate, jaccard_join, language_id, lexical_search, mtree_search, ngram_lm, quote_linking,
+    simhash_dedup, substring_dedup, token_counts, toxicity,
 )
 from sparkmart.llm.common import held_out, prepare
 
@@ -242,3 +242,36 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_simhash_dedup")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+COLLOCATIONS_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+f1 AS (SELECT lang, w AS p, count(*) AS f FROM (SELECT lang, unnest(w) AS w FROM piece) GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+f2 AS (SELECT lang, x, y, count(*) AS f FROM (SELECT lang, w[i] AS x, w[i + 1] AS y FROM
+         (SELECT lang, w, unnest(range(1, len(w))) AS i FROM piece WHERE len(w) > 1)) GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, x, y, z, count(*) AS f FROM (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM
+         (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM piece WHERE len(w) > 2)) GROUP BY ALL HAVING count(*) >= 10),
+long AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3) GROUP BY ALL),
+cut AS (
+  SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM f2 JOIN f1 l ON l.lang = f2.lang AND l.p = f2.x JOIN f1 r ON r.lang = f2.lang AND r.p = f2.y
+  LEFT JOIN long ON long.lang = f2.lang AND long.x = f2.x AND long.y = f2.y
+  WHERE long.f IS NULL OR 100 * long.f < 50 * f2.f
+  UNION ALL SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, 1, l.f, r.f
+  FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.p = f3.x JOIN f2 r ON r.lang = f3.lang AND r.x = f3.y AND r.y = f3.z
+  UNION ALL SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, 2, l.f, r.f
+  FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.x = f3.x AND l.y = f3.y JOIN f1 r ON r.lang = f3.lang AND r.p = f3.z),
+scored AS (SELECT *, CAST((CAST(a AS HUGEINT) * a * 1000000) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cut),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank, phrase, a, l, r, n, score
+FROM weakest JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@register("op11_collocations", COLLOCATIONS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
