@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "first_wins", "insert_ignore", "insert_ignore_table", "anti_not_in", "delete_not_in",
-    "delete_in", "cascade_delete", "with_parent", "unseen", "lookup_first", "with_surrogate_key",
+    "delete_in", "cascade_delete", "greedy_unique", "with_parent", "unseen", "lookup_first", "with_surrogate_key",
     "apply_defaults", "nulls_for_nan", "keys_distinct", "update_from",
 ]
 
@@ -80,23 +80,70 @@ def insert_ignore(target: DataFrame, batch: DataFrame, pk: str | Sequence[str],
                   lengths: dict[str, int] | None = None) -> DataFrame:
     """Rows of ``batch`` that ``INSERT IGNORE INTO target`` would add.
 
-    Rules: FK orphans are rejected first (a NULL FK passes); then, for the PK
-    and each UNIQUE key in turn, rows clashing with an existing row are
-    dropped and the first remaining row (``order_by``, the arrival order) per
-    key wins. Keys with a NULL part never clash. Over-long strings are cut to
-    ``lengths``.
+    Rules: FK orphans are rejected first (a NULL FK passes), then rows that
+    clash with an existing row on the PK or a UNIQUE key; the rest go in one by
+    one in arrival order (``order_by``, the PK if not given; ties by the rows'
+    values), a row being ignored if a row *that went in* holds one of its keys.
+    Keys with a NULL part never clash. Over-long strings are cut to ``lengths``.
     """
     pk = _cols(pk)
-    order_by = list(order_by or pk)
     rows = batch
     if lengths:
         rows = rows.select(*[F.substring(F.col(c), 1, lengths[c]).alias(c) if c in lengths else F.col(c)
                              for c in rows.columns])
     for child_cols, parent, parent_cols in fks:
         rows = with_parent(rows, child_cols, parent, parent_cols)
-    for key in [pk, *[_cols(u) for u in uniques]]:
-        rows = first_wins(_anti_existing(rows, target, key), key, order_by)
-    return rows.select(*batch.columns)
+    keys = [pk, *[_cols(u) for u in uniques]]
+    for key in keys:
+        rows = _anti_existing(rows, target, key)
+    order = [*(order_by or pk), F.xxhash64(*batch.columns)]
+    kept = first_wins(rows, pk, order) if len(keys) == 1 else greedy_unique(rows, keys, order)
+    return kept.select(*batch.columns)
+
+
+def _key_text(df: DataFrame, key: Sequence[str]) -> Column:
+    """A key tuple as one comparable text, NULL where a part is NULL."""
+    kinds = dict(df.dtypes)
+    parts = [(F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)).alias(c) for c in key]   # -0.0 equals 0.0
+    some_null = F.lit(False)
+    for c in key:
+        some_null = some_null | F.col(c).isNull()
+    return F.when(~some_null, F.to_json(F.struct(*parts)))
+
+
+def greedy_unique(df: DataFrame, keys: Sequence[Sequence[str]], order_by: Sequence) -> DataFrame:
+    """The rows that sequential insertion in ``order_by`` order would keep under
+    several unique keys at once: a row is kept unless an earlier *kept* row
+    holds one of its keys (a rejected row shuts out nobody).
+
+    Done in rounds over (row, key) pairs: a row that is first among the open
+    rows in every key it has is kept; open rows that hold a key of a kept row
+    are rejected; the others stay open. Every round settles the first open row of
+    each group of clashing rows at least, and mostly nearly all; there are as
+    many rounds as the longest chain of rows of which each is let in by the
+    rejection of the one before. Only (order, row id, key) travel; the rows
+    themselves are joined back once. Firsts are found by a map-side combined
+    minimum, so a key that very many rows hold is reduced before the shuffle.
+    """
+    base = df.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()    # ids must outlive a lost task
+    held = F.filter(F.array(*[F.struct(F.lit(i).alias("_i"), _key_text(df, k).alias("_k")) for i, k in enumerate(keys)]),
+                    lambda x: x["_k"].isNotNull())
+    slim = base.select("_rid", _order_struct([*order_by, "_rid"]).alias("_order"), held.alias("_held"))
+    kept = [slim.where(F.size("_held") == 0).select("_rid")]
+    open_ = slim.select("_rid", "_order", F.size("_held").alias("_n"), F.explode("_held").alias("_x")).select(
+        "_rid", "_order", "_n", "_x._i", "_x._k").checkpoint()
+    while not open_.isEmpty():
+        first = open_.groupBy("_i", "_k").agg(F.min(F.struct("_order", "_rid", "_n")).alias("_f")).select("_i", "_k", "_f._rid", "_f._n")
+        w = first.groupBy("_rid", "_n").agg(F.count("*").alias("_c"), F.collect_list(F.struct("_i", "_k")).alias("_keys"))
+        into = w.where(F.col("_c") == F.col("_n")).select("_rid", "_keys").checkpoint()       # at most len(keys) keys a row
+        kept.append(into.select("_rid"))
+        taken = into.select(F.explode("_keys").alias("_x")).select("_x._i", "_x._k")
+        settled = open_.join(taken, ["_i", "_k"], "left_semi").select("_rid").distinct()
+        open_ = open_.join(settled, "_rid", "left_anti").checkpoint()
+    ids = kept[0]
+    for k in kept[1:]:
+        ids = ids.unionAll(k)
+    return base.join(ids, "_rid", "left_semi").drop("_rid")
 
 
 def with_parent(df: DataFrame, child_cols, parent: DataFrame, parent_cols) -> DataFrame:
@@ -276,14 +323,17 @@ def nulls_for_nan(df: DataFrame) -> DataFrame:
 
 
 def update_from(target: DataFrame, updates: DataFrame, key: str | Sequence[str],
-                assignments: dict[str, str]) -> DataFrame:
+                assignments: dict[str, str], order_by: Sequence | None = None) -> DataFrame:
     """``UPDATE target SET col = updates.val WHERE key matches``: unmatched rows
     and NULL values keep the old value. ``assignments`` maps target column ->
-    updates column. Of several updates for a key the greatest value per column
-    holds, so the target's rows never multiply."""
+    updates column. Of several updates for a key the first in ``order_by`` holds
+    as a whole (without one, the greatest by its values), so no row gets values of
+    two updates and the target's rows never multiply."""
     key = _cols(key)
-    u = updates.groupBy(*key).agg(*[F.max(v).alias(f"_u_{c}") for c, v in assignments.items()])
+    values = F.struct(*[F.col(v).alias(f"_u_{c}") for c, v in assignments.items()])
+    one = F.min_by(values, _order_struct([*order_by, values])) if order_by else F.max(values)
+    u = updates.groupBy(*key).agg(one.alias("_u"))
     j = target.join(u, on=key, how="left")
     for c in assignments:
-        j = j.withColumn(c, F.coalesce(F.col(f"_u_{c}"), F.col(c)))
+        j = j.withColumn(c, F.coalesce(F.col(f"_u._u_{c}"), F.col(c)))
     return j.select(*target.columns)

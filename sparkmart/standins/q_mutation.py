@@ -140,6 +140,20 @@ def q_dml_update_from(spark, d):
     return R.update_from(tgt, preds, "doc_id", {"cls_food": "pred"})
 
 
+@register("dml_update_first", oracle=f"""
+WITH u AS (SELECT * FROM (SELECT l_partkey, l_returnflag, l_quantity, row_number() OVER (PARTITION BY l_partkey ORDER BY
+             {", ".join(LINE_ORDER)}) AS rn FROM lineitem) WHERE rn = 1)
+SELECT p_partkey, p_brand, coalesce(l_returnflag, '-') AS flag, coalesce(l_quantity, -1.0) AS quantity
+FROM part LEFT JOIN u ON l_partkey = p_partkey
+""")
+def q_dml_update_first(spark, d):
+    """Many updates of one key: the first line of a part sets both columns."""
+    t = Tables(spark, d)
+    tgt = t.part.select("p_partkey", "p_brand", F.lit("-").alias("flag"), F.lit(-1.0).alias("quantity"))
+    lines = t.lineitem.withColumnRenamed("l_partkey", "p_partkey")
+    return R.update_from(tgt, lines, "p_partkey", {"flag": "l_returnflag", "quantity": "l_quantity"}, order_by=LINE_ORDER)
+
+
 @register("dml_update_latest", oracle="""
 WITH m AS (SELECT o_custkey, max(o_orderkey) AS mx FROM orders WHERE o_custkey % 5 = 0 GROUP BY o_custkey)
 SELECT o.o_orderkey, o.o_custkey,

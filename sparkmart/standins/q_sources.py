@@ -135,34 +135,51 @@ def q_snk_append_rejects(spark, d):
             .unionByName(winners.select(*cols)).unionByName(losers.select(*cols)))
 
 
-_INSERT_IGNORE_SQL = """
+_UNIQUES = [["l_partkey", "l_suppkey"], ["l_suppkey", "l_shipdate"]]
+_KEYS = [["l_orderkey", "l_linenumber"], *_UNIQUES]
+
+
+def _insert_ignore_sql(rounds: int = 12) -> str:
+    """Sequential insertion, a CTE per round: kept are the open rows that are
+    first in all keys; open rows that share a key with them leave. A row still
+    open after the last round makes the query fail."""
+    def same(a, b, key):
+        return " AND ".join(f"{a}.{c} = {b}.{c}" for c in key)
+
+    sql = f"""
 WITH ex AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'),
 b AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'),
 fk AS (SELECT * FROM b WHERE l_orderkey IS NULL OR l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 0)),
-p1 AS (SELECT * FROM fk WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.l_orderkey = fk.l_orderkey AND ex.l_linenumber = fk.l_linenumber)),
-p2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
-          l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-          l_returnflag, l_linestatus, l_partkey) AS rn FROM p1) WHERE rn = 1),
-u1 AS (SELECT * FROM p2 WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.l_partkey = p2.l_partkey AND ex.l_suppkey = p2.l_suppkey AND ex.l_shipdate = p2.l_shipdate)),
-u2 AS (SELECT * FROM (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY l_partkey, l_suppkey, l_shipdate ORDER BY
-          l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-          l_returnflag, l_linestatus, l_partkey) AS rn FROM u1) WHERE rn = 1)
+u0 AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {", ".join(LINE_ORDER)}, l_partkey) AS rid FROM fk
+  WHERE {" AND ".join(f"NOT EXISTS (SELECT 1 FROM ex WHERE {same('ex', 'fk', k)})" for k in _KEYS)})"""
+    for r in range(rounds):
+        first = " AND ".join(f"rid = min(rid) OVER (PARTITION BY {', '.join(k)})" for k in _KEYS)
+        sql += f""",
+a{r} AS MATERIALIZED (SELECT * FROM u{r} QUALIFY {first}),
+u{r + 1} AS MATERIALIZED (SELECT * FROM u{r}
+  WHERE {" AND ".join(f"NOT EXISTS (SELECT 1 FROM a{r} WHERE {same(f'a{r}', f'u{r}', k)})" for k in _KEYS)})"""
+    kept = " UNION ALL ".join(f"SELECT * FROM a{r}" for r in range(rounds))
+    return sql + f""",
+inserted AS (SELECT * EXCLUDE (rid) FROM ({kept}) WHERE (SELECT CASE WHEN count(*) > 0 THEN error('open rows') ELSE true END FROM u{rounds}))
 """
 
 
+_INSERT_IGNORE_SQL = _insert_ignore_sql()
+
+
 def _insert_ignore(spark, d):
     t = Tables(spark, d)
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
     ex, b = t.lineitem.filter(F.col("l_shipdate") < cut), t.lineitem.filter(F.col("l_shipdate") >= cut)
     parents = t.orders.filter(F.col("o_orderkey") % 10 != 0)
-    return R.insert_ignore(ex, b, ["l_orderkey", "l_linenumber"], uniques=[["l_partkey", "l_suppkey", "l_shipdate"]],
+    return R.insert_ignore(ex, b, ["l_orderkey", "l_linenumber"], uniques=_UNIQUES,
                            order_by=LINE_ORDER + ["l_partkey"],
                            fks=[(["l_orderkey"], parents, ["o_orderkey"])])
 
 
 @register("snk_insert_ignore", oracle=_INSERT_IGNORE_SQL + """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-       l_returnflag, l_linestatus, l_shipdate FROM u2
+       l_returnflag, l_linestatus, l_shipdate FROM inserted
 """)
 def q_snk_insert_ignore(spark, d):
     return _insert_ignore(spark, d)

@@ -79,3 +79,59 @@ def test_update_from(spark):
     t = spark.createDataFrame([(1, None), (2, 0)], "id int, v int")
     u = spark.createDataFrame([(1, 1)], "id int, p int")
     assert sorted(R.update_from(t, u, "id", {"v": "p"}).collect()) == [(1, 1), (2, 0)]
+
+
+def _one_by_one(target, rows, keys):
+    """Sequential insertion: the ids of the rows that go in."""
+    held = set()
+    for r in target:
+        held |= {(i, tuple(r[c] for c in key)) for i, key in enumerate(keys)}
+    out = []
+    for r in rows:
+        mine = {(i, tuple(r[c] for c in key)) for i, key in enumerate(keys) if all(r[c] is not None for c in key)}
+        if not mine & held:
+            held |= mine
+            out.append(r["seq"])
+    return out
+
+
+def test_insert_ignore_with_several_keys_is_sequential_insertion(spark):
+    import itertools
+    import random
+    cols = "seq int, a int, b string, c double"
+    known = [  # the chains in which a rejected row must not shut out others
+        ([["a"], ["b"]], [(1, 1, "p", 0.0), (2, 1, "q", 0.0), (3, 3, "q", 0.0)], [1, 3]),
+        ([["a"], ["b"]], [(1, 1, "p", 0.0), (2, 2, "p", 0.0), (3, 2, "q", 0.0)], [1, 3]),
+        ([["a"], ["b"], ["c"]], [(1, 1, "p", 1.0), (2, 1, "q", 2.0), (3, 2, "q", 3.0), (4, 2, "r", 2.0), (5, 9, "r", -0.0), (6, 8, "x", 0.0)],
+         [1, 3, 5]),
+    ]
+    for keys, rows, want in known:
+        for order in itertools.permutations(keys):
+            got = R.insert_ignore(spark.createDataFrame([], cols), spark.createDataFrame(rows, cols), order[0], uniques=order[1:],
+                                  order_by=["seq"])
+            assert sorted(r["seq"] for r in got.collect()) == want
+    rng = random.Random(3)
+    pick = lambda n: None if rng.random() < 0.1 else rng.randrange(n)
+    rows = [dict(seq=i, a=pick(90), b=(lambda v: v if v is None else f"b{v}")(pick(70)), c=float(rng.randrange(4))) for i in range(300)]
+    target = [dict(seq=-i, a=i, b=f"b{100 - i}", c=0.0) for i in range(5)]
+    keys = [["a"], ["b"], ["b", "c"]]
+    tgt, batch = (spark.createDataFrame([tuple(r.values()) for r in x], cols) for x in (target, rows))
+    got = R.insert_ignore(tgt, batch, "a", uniques=keys[1:], order_by=["seq"])
+    assert sorted(r["seq"] for r in got.collect()) == _one_by_one(target, rows, keys)
+
+
+def test_insert_ignore_breaks_ties_by_the_rows_values(spark):
+    cols = "a int, b string, v int"
+    rows = [(1, "x", 1), (1, "y", 2), (2, "x", 3), (2, "y", 4)]
+    results = {tuple(sorted(map(tuple, R.insert_ignore(spark.createDataFrame([], cols), spark.createDataFrame(p, cols).repartition(n), "a",
+                                                       uniques=[["b"]]).collect())))
+               for p in (rows, rows[::-1]) for n in (1, 3)}
+    assert len(results) == 1
+
+
+def test_update_from_takes_one_update_whole(spark):
+    t = spark.createDataFrame([("k", "0", "0"), ("m", "0", "0")], "k string, v string, w string")
+    u = spark.createDataFrame([("k", "a", "z", 2), ("k", "b", "y", 1)], "k string, p string, q string, at int")
+    got = R.update_from(t, u, "k", {"v": "p", "w": "q"}, order_by=["at"])
+    assert sorted(map(tuple, got.collect())) == [("k", "b", "y"), ("m", "0", "0")]
+    assert sorted(map(tuple, R.update_from(t, u, "k", {"v": "p", "w": "q"}).collect())) == [("k", "b", "y"), ("m", "0", "0")]
