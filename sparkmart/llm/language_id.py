@@ -6,8 +6,10 @@ run of non-letters one space, word edges included); the softmax over that mean
 is trained with the embeddings by stochastic gradient descent in numpy. A
 temperature and a rejection threshold are fitted on a tenth of the sample.
 
-Training reads at most ``per_lang`` labelled texts per language (a hash of the
-id picks them, the same at every size); all else covers whole texts of all rows.
+Training reads at most ``per_lang`` labelled rows per language, ``most`` in all
+(a hash of id and text picks them, the same at every size); with more than
+``most / per_lang`` languages each gets its equal part, and none is left out. All
+else covers whole texts of all rows.
 
 Cases: a null text or one without a letter gives ``und`` and score 0; with no
 labelled row every prediction is ``und``; ties go to the language that sorts
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import map_arrow
@@ -63,17 +65,20 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return u, (n / max(len(g), 1)).astype(np.float32)
 
 
-def sample_rows(df: DataFrame, id_col: str, label: Column, eligible: Column, per_label,
-                most: int) -> DataFrame:
-    """(doc_id, label) of about ``per_label`` eligible rows of each label (a
-    number, or a column of ``label``), picked by a hash of the id against the
-    label's share; only a count per label is gathered. ``most`` rows at most, so
-    the result may be broadcast."""
-    rows = df.select(F.col(id_col).alias("doc_id"), label.alias("label")).where(eligible & label.isNotNull())
-    share = rows.groupBy("label").agg(F.count("*").alias("n"))
-    share = share.select("label", ((F.lit(float(per_label)) if isinstance(per_label, int) else per_label) / F.col("n")).alias("share"))
-    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
-    return F.broadcast(rows.join(share, "label").where(u < F.col("share")).select("doc_id", "label").limit(most))
+def sample_rows(rows: DataFrame, key: Column, per_label: Column, most: int) -> DataFrame:
+    """At most ``per_label`` rows (a number as a column of ``label``) of each value
+    of the column ``label``, and at most ``most / labels`` where there are so many
+    labels (one row of each at least): picked row by row by a hash of ``key``, the
+    same at every size and however rows are dealt. A share of the rows is taken
+    first, so that next to nothing is shuffled; then the exact bound applies."""
+    rows = rows.where(F.col("label").isNotNull())
+    count = rows.groupBy("label").agg(F.count("*").alias("_n"))
+    labels = max(count.count(), 1)
+    count = count.withColumn("_want", F.least(F.ceil(per_label), F.lit(max(most // labels, 1))).cast("int"))
+    u = F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    near = rows.withColumn("_u", u).join(count, "label").where(F.col("_u") * F.col("_n") < 2 * F.col("_want") + 50)
+    w = Window.partitionBy("label").orderBy("_u", key)
+    return near.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= F.col("_want")).select(*rows.columns)
 
 
 def train(sets: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs: int = 6, rate: float = 4.0,
@@ -129,12 +134,11 @@ def train(sets: list[tuple[np.ndarray, np.ndarray]], labels: list[str], epochs:
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        eligible: Column | None = None, per_lang: int = 600) -> Model | None:
+        eligible: Column | None = None, per_lang: int = 600, most: int = 120_000) -> Model | None:
     """Train on a bounded sample; only its hashed features reach the driver."""
-    src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("label"))
     ok = F.col("text").isNotNull() & (eligible if eligible is not None else F.lit(True))
-    ids = sample_rows(src, "doc_id", F.col("lang"), ok, per_lang, most=100 * per_lang)
-    rows = src.where(ok).join(ids, "doc_id", "left_semi").select("text", "lang")
+    rows = sample_rows(src.where(ok), F.xxhash64("doc_id", "text"), F.lit(per_lang), most).select("text", F.col("label").alias("lang"))
 
     def run(cols):
         f = [features(t) for t in cols["text"]]

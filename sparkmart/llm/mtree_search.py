@@ -24,7 +24,10 @@ are indexed and searched, results are exact.
 Cases: vectors that are null, empty or hold null or non-finite components take
 no part, as query or candidate; shorter vectors are filled with zeros; rows
 repeated with one id and one vector count once; ties go to the smaller id;
-fewer candidates than k give fewer rows; null ids take no part.
+fewer candidates than k give fewer rows; null ids take no part. Large components
+take part: from squared norms of 2**53 on, products are taken in Python's
+integers; a score beyond 64 bits counts as the nearest 64-bit value, and a
+vector whose scaled component is beyond the doubles takes no part.
 """
 
 from __future__ import annotations
@@ -40,17 +43,37 @@ from sparkmart.llm.common import written
 
 MAX_ROUTERS = 256
 BLOCK, PAGE = 8192, 128
-_SLACK = 1e-6   # of squared distances, far above float error and far below 1, their least difference
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+EXACT = float(1 << 53)   # squared norms below this: float products are exact
 
 
 def quantised(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     v = df.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     v = v.where(F.col("vec_id").isNotNull() & (F.size("v") > 0) & ~F.coalesce(bad, F.lit(True)))
-    v = v.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("bigint")).alias("v"))
+    # integers held as doubles: from 2**52 on every double is one, so nothing overflows
+    whole = F.transform("v", lambda x: F.when(F.abs(x * scale) < float(1 << 52), F.floor(x * scale).cast("double")).otherwise(x * scale) + F.lit(0.0))
+    v = v.select("vec_id", whole.alias("v")).where(~F.exists("v", lambda x: F.abs(x) == float("inf")))
     return v.dropDuplicates(["vec_id", "v"])
 
 
+def _limit(base: float, least: int | None) -> float:
+    """The largest distance at which a score of ``least`` or more can lie, with
+    room for rounding (of a distance: the root of that of its square)."""
+    if least is None or least <= LOWEST:
+        return np.inf
+    return np.sqrt(max(base - 2 * least, 0)) + 1e-3 + 1e-5 * np.sqrt(base)
+
+
+def _products(rows: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
+    """Integer inner products: of floats where all sums are under 2**53 by the
+    norms, of Python's integers beyond, cut to 64 bits."""
+    if exact:
+        return (rows @ q).astype(np.int64)
+    whole = [int(x) for x in q]
+    return np.array([min(max(sum(int(a) * b for a, b in zip(r, whole)), LOWEST), HIGHEST) for r in rows.tolist()], np.int64)
+
+
 def _matrix(rows: list, width: int) -> np.ndarray:
     out = np.zeros((len(rows), width), np.float64)
     for i, r in enumerate(rows):
@@ -94,7 +117,7 @@ class Block:
         least = bound
         low = to_router - self.radius
         for p in np.argsort(low, kind="stable").tolist():
-            limit = np.inf if least is None else np.sqrt(max(base - 2 * least, 0) + _SLACK)
+            limit = _limit(base, least)
             if low[p] > limit:
                 break
             near = self.pages[p]
@@ -102,7 +125,7 @@ class Block:
                 near = near[np.abs(to_router[p] - self.parent[p]) <= limit]
             if not len(near):
                 continue
-            score = self.rows[near] @ q           # integers below 2**53: exact
+            score = _products(self.rows[near], q, self.top < EXACT)
             if least is not None:
                 ok = score >= least
                 near, score = near[ok], score[ok]
@@ -158,14 +181,14 @@ def search(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col:
     condition on ``vec_id``) holds, the k best other rows."""
     spark = df.sparkSession
     base = written(quantised(df, id_col, vec_col, scale), "vectors")
-    square = F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     facts = base.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.max(square).alias("top")).first()
     n, width, top = facts["n"], facts["width"] or 1, float(facts["top"] or 0)
     want = int(min(MAX_ROUTERS, max(1, n // 2048)))
     picked = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(want).collect()   # at most MAX_ROUTERS rows
     routers = _lift(np.unique(_matrix([r["v"] for r in picked], width), axis=0), top)
     shared = spark.sparkContext.broadcast(routers)
-    route = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.int64())), ("node", pa.int32()), ("dist", pa.float64())])
+    route = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("node", pa.int32()), ("dist", pa.float64())])
 
     def to_node(batches):
         for b in batches:
@@ -173,7 +196,7 @@ def search(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(d.argmin(1).astype(np.int32)), pa.array(d.min(1))],
                                              schema=route)
 
-    placed = base.select("vec_id", "v").mapInArrow(to_node, "vec_id bigint, v array<bigint>, node int, dist double")
+    placed = base.select("vec_id", "v").mapInArrow(to_node, "vec_id bigint, v array<double>, node int, dist double")
     nodes = {r["node"]: (r["radius"], -(-r["n"] // block)) for r in placed.groupBy("node").agg(
         F.max("dist").alias("radius"), F.count("*").alias("n")).collect()}            # at most MAX_ROUTERS rows
     chunks = F.element_at(F.create_map(*[F.lit(x) for m, (_, c) in nodes.items() for x in (m, c)]) if nodes
@@ -182,7 +205,7 @@ def search(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col:
                          "vec_id", "v", F.lit(None).cast("bigint").alias("bound"))
     asked = base.where(is_query).select("vec_id", "v")
     visit = pa.schema([("node", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("vec_id", pa.int64()),
-                       ("v", pa.list_(pa.int64())), ("bound", pa.int64())])
+                       ("v", pa.list_(pa.float64())), ("bound", pa.int64())])
     order = sorted(nodes)
     radius = np.array([nodes[m][0] for m in order])
 
@@ -199,7 +222,7 @@ def search(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col:
                 if first:
                     go = [near]
                 else:
-                    limit = np.inf if bound is None else np.sqrt(max(float(q[i] @ q[i]) + top - 2 * bound, 0) + _SLACK)
+                    limit = _limit(float(q[i] @ q[i]) + top, bound)
                     go = [j for j in np.flatnonzero(d[i] - radius <= limit).tolist() if j != near]
                 out += [(order[j], c, 1, qid, v, bound) for j in go for c in range(nodes[order[j]][1])]
             if out:
@@ -207,7 +230,7 @@ def search(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col:
 
     def round_of(queries: DataFrame, first: bool) -> DataFrame:
         go = queries.select("vec_id", "v", "bound", F.lit(first).alias("first")).mapInArrow(
-            visits, "node int, chunk int, kind int, vec_id bigint, v array<bigint>, bound bigint")
+            visits, "node int, chunk int, kind int, vec_id bigint, v array<double>, bound bigint")
         stream = rows.unionAll(go).repartition("node", "chunk").sortWithinPartitions("node", "chunk", "kind", "vec_id")
         return _searched(stream, width, top, k, block)
 

@@ -31,6 +31,7 @@ from sparkmart.llm.common import id_text, map_arrow
 MARK = "▁"
 SEPARATORS = "\n\t\r"
 CACHE_WORDS = 400_000
+CACHE_CHARS = 64                 # longer pre-tokens are counted anew, so the cache has a bound in bytes
 _COUNTERS: dict[str, "Counter"] = {}
 
 
@@ -72,7 +73,9 @@ class Counter(dict):
         self.merged = 0
 
     def __missing__(self, word: str) -> int:
-        n = self[word] = self._count(word)
+        n = self._count(word)
+        if len(word) <= CACHE_CHARS:
+            self[word] = n
         return n
 
     def _count(self, word: str) -> int:
@@ -92,10 +95,13 @@ class Counter(dict):
         """Tokens of what follows a separator, where no mark is put before it."""
         if not rest:
             return 0
-        if rest not in self.tail:
+        n = self.tail.get(rest)
+        if n is None:
             self.merged += 1
-            self.tail[rest] = len(self.sp.encode(sep + rest)) - 1 - self.alone[sep]
-        return self.tail[rest]
+            n = len(self.sp.encode(sep + rest)) - 1 - self.alone[sep]
+            if len(rest) <= CACHE_CHARS:
+                self.tail[rest] = n
+        return n
 
     def count(self, text: str) -> int:
         if not text:

@@ -6,6 +6,11 @@ document labels are known, so the gradient of the document's loss is passed
 through the noisy-or to the sentences; the fitted sentence scores then locate
 the offending sentences.
 
+A score must not rise with a clean text's length: in scoring, only what a
+sentence's probability has over ``FLOOR`` counts, and twice the evidence that
+clean sentences have on average (measured on a tenth of the clean sample, which
+is not learnt from) is taken off per sentence.
+
 Training reads at most about ``per_class`` labelled texts of each class (hash
 of the id); scores cover every sentence of every whole text.
 
@@ -15,6 +20,7 @@ labels every score is 0; repeated rows give repeated results.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from dataclasses import dataclass
@@ -32,13 +38,15 @@ PREFIXES = (3, 4, 5)          # of a word, hashed beside the whole word: inflect
 START_BIAS = -7.0            # a sentence is clean unless its words say otherwise
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _STRIP = " \t\r\x0b\x0c,;:\"'()[]{}<>*#$%&/\\|_-+=~`"
-CACHE_WORDS = 300_000
+FLOOR = 0.05                  # of a sentence's probability: less than that is no evidence, however many sentences have it
+CACHE_WORDS, CACHE_CHARS = 300_000, 64
 
 
 @dataclass
 class Model:
     weights: np.ndarray      # one per bucket
     bias: float
+    background: float = 0.0  # evidence that a sentence of a clean text has on average
 
 
 def buckets(word: str) -> tuple[int, ...]:
@@ -62,6 +70,16 @@ def bag(text: str) -> list[list[int]]:
     return out
 
 
+def evidence(p: np.ndarray) -> float:
+    """Summed -log(1 - p) of the sentences, of what their probabilities have over ``FLOOR``."""
+    return float(-np.log1p(-np.clip((p - FLOOR) / (1 - FLOOR), 0, 1 - 1e-12)).sum())
+
+
+def spread(sentences: list, most: int) -> list:
+    """At most ``most`` evenly spaced ones, the first and the last among them."""
+    return [sentences[i] for i in np.linspace(0, len(sentences) - 1, most).astype(int)] if len(sentences) > most else sentences
+
+
 def train(flat: list[tuple[np.ndarray, np.ndarray, int]], labels: list[int], steps: int = 90_000, rate: float = 0.2,
           decay: float = 1e-4, min_docs: int = 4, seed: int = 3) -> Model | None:
     """Plain SGD over single documents, given as (buckets, the sentence of each,
@@ -72,6 +90,8 @@ def train(flat: list[tuple[np.ndarray, np.ndarray, int]], labels: list[int], ste
         return None
     w, bias = np.zeros(BUCKETS), START_BIAS
     rng = np.random.default_rng(seed)
+    clean_rows = [i for i, y in enumerate(labels) if not y]
+    apart = set(clean_rows[::10]) if len(clean_rows) >= 20 else set()     # not learnt from: they measure the background
     epochs = min(60, max(10, steps // len(labels)))  # small samples are gone over more often
     docs = np.zeros(BUCKETS, np.int32)
     for idx, _, _ in flat:
@@ -83,7 +103,7 @@ def train(flat: list[tuple[np.ndarray, np.ndarray, int]], labels: list[int], ste
         step = rate * (1 - epoch / epochs)
         for i in rng.permutation(len(labels)):
             idx, of, n = flat[i]
-            if not n:
+            if not n or i in apart:
                 continue
             p = 1 / (1 + np.exp(-np.clip(np.bincount(of, weights=w[idx], minlength=n) + bias, -30, 30)))
             if labels[i]:
@@ -95,29 +115,35 @@ def train(flat: list[tuple[np.ndarray, np.ndarray, int]], labels: list[int], ste
                 np.subtract.at(w, idx, step * g[of])
                 bias = min(bias - 0.02 * step * g.sum(), -4.0)
         w *= 1 - decay * step * len(labels) / 10
-    return Model(w.astype(np.float32), float(bias))
+    seen, total = 0, 0.0
+    for i in apart:
+        idx, of, n = flat[i]
+        seen += n
+        total += evidence(1 / (1 + np.exp(-np.clip(np.bincount(of, weights=w[idx], minlength=n) + bias, -40, 40))))
+    return Model(w.astype(np.float32), float(bias), total / max(seen, 1))
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", eligible: Column | None = None, per_class: int = 3000, clean_factor: int = 2,
-        max_chars: int = 200_000) -> Model | None:
-    """Train on a bounded sample of the documents that ``labels`` marks, about
-    ``per_class`` toxic and ``clean_factor`` times as many clean; ``eligible`` speaks of the column ``doc_id``. An id labelled twice counts
-    by its largest label. Texts of over ``max_chars`` characters are not learnt
-    from (the sample is held on the driver); they are scored like all others."""
+        most_sentences: int = 2000) -> Model | None:
+    """Train on a bounded sample of the rows that ``labels`` marks, at most
+    ``per_class`` toxic and ``clean_factor`` times as many clean; ``eligible`` speaks
+    of the column ``doc_id``. An id labelled twice counts by its largest label. Of
+    a longer text ``most_sentences`` evenly spaced sentences are learnt from, so
+    that what the driver holds is bounded; all of every text is scored."""
     lab = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     lab = lab.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
     lab = lab.groupBy("doc_id").agg(F.max("label").alias("label"))
-    ids = sample_rows(lab, "doc_id", F.col("label"), eligible if eligible is not None else F.lit(True),
-                      F.when(F.col("label") == 0, float(clean_factor * per_class)).otherwise(float(per_class)),
-                      most=2 * (1 + clean_factor) * per_class)
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if eligible is not None:
-        docs = docs.where(eligible)
-    rows = docs.where(F.length("text") <= max_chars).join(ids, "doc_id").select("doc_id", "text", "label")
+        lab = lab.where(eligible)
+    per = F.when(F.col("label") == 0, clean_factor * per_class).otherwise(per_class)
+    most = 2 * (1 + clean_factor) * per_class
+    ids = sample_rows(lab, F.col("doc_id"), per, most)
+    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
+    rows = sample_rows(docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label"), F.xxhash64("doc_id", "text"), per, most)
 
     def run(cols):
-        bags = [bag(t) for t in cols["text"]]
+        bags = [spread(bag(t), most_sentences) for t in cols["text"]]
         return {"doc_id": cols["doc_id"], "label": cols["label"],
                 "idx": [[x for s in b for x in s] for b in bags], "len": [[len(s) for s in b] for b in bags]}
 
@@ -144,7 +170,9 @@ class _Words(dict):
 
     def __missing__(self, word):
         b = buckets(word)
-        v = self[word] = (b[0], float(self.weights[list(b)].sum())) if b else (-1, 0.0)
+        v = (b[0], float(self.weights[list(b)].sum())) if b else (-1, 0.0)
+        if len(word) <= CACHE_CHARS:
+            self[word] = v
         return v
 
 
@@ -170,14 +198,14 @@ def document_score(model: Model | None, cache: list, text: str | None) -> tuple[
     if not s:
         return 0.0, []
     p = 1 / (1 + np.exp(-np.clip(np.array([x[2] for x in s]), -40, 40)))
-    total = float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum()))
+    total = -math.expm1(-max(0.0, evidence(p) - 2 * model.background * len(s)))
     return min(1.0, max(0.0, total)), [(a, b, q) for (a, b, _), q in zip(s, p.tolist())]
 
 
 def score(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
           sentence_threshold: float = 0.5) -> DataFrame:
     """(doc_id, score, predicted, offending array<struct<start,end,p>>): the
-    noisy-or of all sentences and the sentences at or over the threshold."""
+    noisy-or of all sentences over the background and the sentences at or over the threshold."""
     src = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats
     cache: list[_Words] = []

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparkmart.llm import language_id, toxicity
 from sparkmart.llm.queries import QUERIES, learn
@@ -36,6 +37,18 @@ def test_language_cases(spark):
     assert {r["lang_pred"] for r in language_id.predict(df, none).collect()} == {"und"}
 
 
+def test_language_learns_every_label_and_null_rows_of_an_id(spark):
+    rows = [(1, "some english words here", "en"), (1, "some english words here", None), (1, None, "en")] * 3
+    rows += [(10 + i, f"zyx{i % 150:03d}qw " * 6, f"l{i % 150:03d}") for i in range(1500)]
+    df = H.docs(spark, rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(df, per_lang=5)
+    assert model.langs == ["en"] + [f"l{i:03d}" for i in range(150)]
+    assert len(language_id.fit(df, per_lang=500, most=151).langs) == 151
+    picked = language_id.sample_rows(df.selectExpr("text", "lang AS label"), F.xxhash64("text"), F.lit(4), 10 ** 6)
+    assert picked.groupBy("label").count().agg(F.max("count")).first()[0] <= 4
+    assert {r["doc_id"] for r in language_id.predict(df, model).collect()} == {r[0] for r in rows}
+
+
 def test_language_scores_do_not_depend_on_blocks():
     rng = np.random.default_rng(1)
     m = language_id.Model(["a", "b"], rng.normal(size=(language_id.BUCKETS, 2)).astype(np.float32), np.zeros(2), 1.0, 0.5)
@@ -69,6 +82,33 @@ def small(spark):
     return df, H.docs(spark, labels + [(0, 1), (None, 1), (5, None)], "doc_id bigint, toxic int")
 
 
+def test_toxicity_held_out_rates_and_long_clean_texts(spark):
+    """Held-out toxic documents found, clean ones left alone, and no clean text called toxic for its length."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    model = toxicity.fit(docs, labels, eligible=learn())
+    rows = docs.join(labels, "doc_id").where(~learn()).select("doc_id", "text", "toxic").collect()
+    score = {r["doc_id"]: toxicity.document_score(model, [], r["text"])[0] for r in rows}
+    assert np.mean([score[r["doc_id"]] >= 0.5 for r in rows if r["toxic"]]) >= 0.6      # a constant answer has 0 or fails below
+    clean = [r for r in rows if not r["toxic"]]
+    assert np.mean([score[r["doc_id"]] >= 0.5 for r in clean]) <= 0.02
+    quiet = [r["text"] for r in clean if score[r["doc_id"]] < 0.2]
+    for n in (100, 300, len(quiet)):
+        assert toxicity.document_score(model, [], "\n".join(quiet[:n]))[0] < 0.5
+    line = max(quiet[:50], key=len).split(".")[0] + ". "
+    assert toxicity.document_score(model, [], line * 20_000)[0] < 0.5
+    worst = max(rows, key=lambda r: score[r["doc_id"]])["text"]
+    assert toxicity.document_score(model, [], quiet[0] + "\n" + worst)[0] >= 0.5
+
+
+def test_toxicity_takes_rows_of_one_id_and_very_long_texts(spark, small):
+    df, labels = small
+    many = df.unionAll(df.where("doc_id = 4")).unionAll(H.docs(spark, [(7, "a calm line. " * 50_000), (7, None)]))
+    model = toxicity.fit(many, labels, per_class=20, most_sentences=50)
+    got = toxicity.score(many, model)
+    assert got.where("doc_id = 4").count() == 2 and got.where("doc_id = 7").agg(F.max("score")).first()[0] < 0.5
+
+
 def test_toxicity_locates_the_sentence(spark, small):
     df, labels = small
     model = toxicity.fit(df, labels, eligible=learn())

@@ -51,6 +51,17 @@ def test_search_with_few_rows(spark):
     assert _search(spark, rows) == brute_top(rows, 5, lambda q: q % 7 == 0)
 
 
+def test_search_takes_large_components_exactly(spark):
+    rng = np.random.default_rng(12)
+    small = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    large = [(100 + i, (rng.normal(size=4) * 3e6).tolist()) for i in range(40)]
+    close = [(200 + i, [1e6 + i / 256, 8e5, -7e5, 1e4]) for i in range(30)]      # products differ far below float precision
+    assert _search(spark, small + large) == brute_top(small + large, 5, lambda q: q % 7 == 0)
+    assert _search(spark, small + close, block=16) == brute_top(small + close, 5, lambda q: q % 7 == 0)
+    huge = _search(spark, [(7, [1e200, 0.0]), (8, [1e200, 1.0]), (9, [1e308, 1.0]), (14, [-1.0, 0.0])])
+    assert huge[7] == [(1, 8, 2 ** 63 - 1), (2, 14, -2 ** 63)] and 9 not in {v for q in huge.values() for _, v, _ in q}
+
+
 def test_pages_are_skipped_by_the_stored_bounds():
     rng = np.random.default_rng(3)
     x = np.floor(np.concatenate([rng.normal(c * 40, 1, (200, 6)) for c in range(8)]) * 8)
