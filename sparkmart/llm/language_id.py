@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import map_arrow
 
 BUCKETS, DIM, GRAMS = 1 << 15, 16, (3, 4)
+MOST_LABELS = 10_000
 _LETTER = regex.compile(r"\p{L}")
 # bytes: ASCII letters to lower case, UTF-8 bytes as they are, the rest to space
 _FOLD = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 0x20 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
@@ -74,9 +75,10 @@ def sample_rows(rows: DataFrame, key: Column, per_label: Column, most: int) -> D
     rows = rows.where(F.col("label").isNotNull())
     count = rows.groupBy("label").agg(F.count("*").alias("_n"))
     labels = max(count.count(), 1)
+    small = F.broadcast if labels <= MOST_LABELS else (lambda t: t)      # a row per label; more of them are joined by shuffle
     count = count.withColumn("_want", F.least(F.ceil(per_label), F.lit(max(most // labels, 1))).cast("int"))
     u = F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    near = rows.withColumn("_u", u).join(count, "label").where(F.col("_u") * F.col("_n") < 2 * F.col("_want") + 50)
+    near = rows.withColumn("_u", u).join(small(count), "label").where(F.col("_u") * F.col("_n") < 2 * F.col("_want") + 50)
     w = Window.partitionBy("label").orderBy("_u", key)
     return near.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= F.col("_want")).select(*rows.columns)
 
