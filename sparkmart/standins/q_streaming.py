@@ -7,8 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from sparkmart.plans import classify as C
+from sparkmart.plans import kok
 from sparkmart.session import scratch_path
+from sparkmart.sources.keyed_table import KeyedTable
 from sparkmart.standins import Tables, register
+from sparkmart.standins.frames import LINE_ORDER, kok_prices
+from sparkmart.standins.q_jobs import PRICE_DELTA_CTES
 from sparkmart.standins.q_text import FINISHED, INGREDIENT, _NORM, _RULE_SQL
 from sparkmart.streaming import incremental as S
 
@@ -31,9 +35,9 @@ def q_stm_incremental(spark, d):
     ev.filter(F.col("event_id") % 3 == 0).write.mode("append").parquet(src)
     ev.filter((F.col("event_id") % 3 == 1) | (F.col("event_id") % 9 == 0)).write.mode("append").parquet(src)
     ev.filter(F.col("event_id") % 3 == 2).write.mode("append").parquet(src)
-    S.incremental_load(spark, src, ev.schema, tgt, ckpt, "event_id", order_by=["ts", "event_id"],
-                       max_files_per_trigger=1)
-    return S.read_target(spark, tgt)
+    target = KeyedTable(spark, tgt, ev.schema, "event_id")
+    S.incremental_load(spark, src, ev.schema, target, ckpt, order_by=["ts", "event_id"], max_files_per_trigger=1)
+    return target.read()
 
 
 @register("stm_score", oracle=f"""
@@ -51,3 +55,16 @@ def q_stm_score(spark, d):
     S.stream_score(spark, src, docs.schema, tgt, ckpt, lambda b: scorer(b).select("doc_id", "pred", "conf"),
                    max_files_per_trigger=1, label_col="cls_ing")
     return S.read_target(spark, tgt)
+
+
+@register("kok_price_delta_incremental", oracle=f"WITH {PRICE_DELTA_CTES} SELECT * FROM delta")
+def q_kok_price_delta_incremental(spark, d):
+    # three arrivals that each hold old and new prices of any product; some rows are sent twice
+    prices = kok_prices(Tables(spark, d))
+    src, tgt, ckpt = _dirs(spark, "kok_price_delta")
+    part = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3))
+    for n in range(3):
+        prices.where((part == n) | ((part == 0) & (F.col("l_orderkey") % 5 == n))).write.mode("append").parquet(src)
+    state = KeyedTable(spark, tgt, prices.schema, "kok_product_id")
+    S.incremental_merge(spark, src, prices.schema, state, ckpt, kok.newest_two(arrival=LINE_ORDER), max_files_per_trigger=8)
+    return kok.price_delta(state.read(), arrival=LINE_ORDER)

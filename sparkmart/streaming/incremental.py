@@ -1,10 +1,11 @@
 """Incremental loading and scoring as Structured Streaming jobs.
 
-Both jobs use ``foreachBatch`` with an idempotent sink: every micro-batch
-writes (overwrites) its own ``batch_id=N`` partition of the target, and
-reads the target *without* that partition, so a replayed batch after a
-failure produces exactly the same rows. Progress and the file log live in
-the checkpoint location (a shared folder), so a restarted query resumes.
+All jobs use ``foreachBatch`` with an idempotent sink: every micro-batch
+writes (overwrites) folders of its own batch id and reads the target as it was
+before that batch, so a replayed batch after a failure produces exactly the same
+rows. A target that has to be looked up lies in key buckets (``KeyedTable``): a
+batch reads the buckets of its own keys, not the target. Progress and the file log
+live in the checkpoint location (a shared folder), so a restarted query resumes.
 """
 
 from __future__ import annotations
@@ -15,19 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sparkmart.operators import relational as R
-
-
-def _target(spark: SparkSession, path: str, schema: StructType, before_batch: int) -> DataFrame:
-    if not _exists(spark, path):  # nothing written yet; any other read error is raised
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(StructType(schema.fields[:]).add("batch_id", "long")).parquet(path)
-    return df.filter(F.col("batch_id") < before_batch).drop("batch_id")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+from sparkmart.sources.keyed_table import KeyedTable
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -35,29 +24,41 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def incremental_load(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
-                     key: str | Sequence[str], order_by: Sequence[str] | None = None,
-                     max_files_per_trigger: int | None = None, transform: Callable | None = None):
-    """Stream new files of ``source`` into ``target`` with INSERT IGNORE on
-    ``key`` (existing rows win; first row per key in ``order_by`` wins inside
-    a batch). Runs until the available files are processed."""
+def _each_batch(spark: SparkSession, source: str, schema: StructType, checkpoint: str, run: Callable,
+                max_files_per_trigger: int | None, transform: Callable | None = None):
+    """Calls ``run(batch, batch_id)`` for the new files of ``source`` until all are processed."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source)
     if transform is not None:
         stream = transform(stream)
-    out_schema = stream.schema
+    q = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
 
+def incremental_load(spark: SparkSession, source: str, schema: StructType, target: KeyedTable, checkpoint: str,
+                     order_by: Sequence[str] | None = None, max_files_per_trigger: int | None = None,
+                     transform: Callable | None = None):
+    """Stream new files of ``source`` into ``target`` with INSERT IGNORE on its
+    key (existing rows win; first row per key in ``order_by`` wins inside
+    a batch). Runs until the available files are processed."""
     def load(batch: DataFrame, batch_id: int) -> None:
-        existing = _target(batch.sparkSession, target, StructType(out_schema.fields[:]), batch_id)
-        added = R.insert_ignore(existing, batch, key, order_by=order_by)
-        _write_batch(added, target, batch_id)
+        target.insert_ignore(batch, batch_id, order_by)
 
-    q = (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    return _each_batch(spark, source, schema, checkpoint, load, max_files_per_trigger, transform)
+
+
+def incremental_merge(spark: SparkSession, source: str, schema: StructType, state: KeyedTable, checkpoint: str,
+                      fold: Callable[[DataFrame], DataFrame], max_files_per_trigger: int | None = None,
+                      transform: Callable | None = None):
+    """Stream new files of ``source``, reshaped by ``transform``, into a keyed
+    state: per key of a batch the state becomes ``fold`` of the held and new rows."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        state.merge(batch, batch_id, fold)
+
+    return _each_batch(spark, source, schema, checkpoint, merge, max_files_per_trigger, transform)
 
 
 def stream_score(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
@@ -66,18 +67,11 @@ def stream_score(spark: SparkSession, source: str, schema: StructType, target: s
     """Score the new rows of ``source`` with ``score`` (a DataFrame ->
     DataFrame function) and append the result to ``target``; with
     ``label_col`` only rows whose label is still NULL."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-
     def run(batch: DataFrame, batch_id: int) -> None:
         todo = batch if label_col is None else batch.where(F.col(label_col).isNull())
         _write_batch(score(todo), target, batch_id)
 
-    q = (reader.parquet(source).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+    return _each_batch(spark, source, schema, checkpoint, run, max_files_per_trigger)
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
