@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.operators.relational import keys_distinct
+from sparkmart.sources.keyed_table import KeyedTable
 
 
 @dataclass
@@ -77,3 +78,38 @@ def audit_contract(df: DataFrame, contract: Contract) -> DataFrame:
         out = out.unionByName(p)
     return out.select(F.lit(contract.name).alias("table_name"), "rule",
                       F.col("n_violations").cast("bigint").alias("n_violations"))
+
+
+class KeyCounts:
+    """UNIQUE and FK rules audited batch by batch: per key the number of rows that
+    hold it (``n_rows``) and of parent rows that offer it (``n_parents``), kept in a
+    ``KeyedTable`` on the key, so a batch reads the counts of its own keys only. The
+    counts add up in any order: a parent may come after its children, and
+    deleted rows are taken off. Keys with a NULL part break no rule."""
+
+    def __init__(self, table: KeyedTable):
+        self.table = table
+
+    @staticmethod
+    def schema(rows: DataFrame, key: Sequence[str]):
+        return rows.select(*key, F.lit(0).cast("long").alias("n_rows"), F.lit(0).cast("long").alias("n_parents")).schema
+
+    def add(self, batch_id: int, rows: DataFrame | None = None, parents: DataFrame | None = None,
+            deleted: DataFrame | None = None) -> None:
+        key, changes = self.table.key, None
+        for df, n_rows, n_parents in ((rows, 1, 0), (parents, 0, 1), (deleted, -1, 0)):
+            if df is not None:
+                one = df.select(*key, F.lit(n_rows).cast("long").alias("n_rows"), F.lit(n_parents).cast("long").alias("n_parents"))
+                changes = one if changes is None else changes.unionByName(one)
+        if changes is not None:
+            self.table.merge(self._sum(changes), batch_id, self._sum)
+
+    def _sum(self, df: DataFrame) -> DataFrame:
+        n = df.groupBy(*self.table.key).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_parents").alias("n_parents"))
+        return n.where((F.col("n_rows") != 0) | (F.col("n_parents") != 0))
+
+    def violations(self) -> DataFrame:
+        """(rule, n_violations): rows that share their key, rows without a parent."""
+        n = self.table.read().agg(F.coalesce(F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))), F.lit(0)).alias("u"),
+                                  F.coalesce(F.sum(F.when(F.col("n_parents") == 0, F.col("n_rows"))), F.lit(0)).alias("f"))
+        return n.selectExpr("stack(2, 'unique', u, 'fk', f) AS (rule, n_violations)")

@@ -126,6 +126,19 @@ def char_terms(df: DataFrame, id_col: str, text: str, ngrams: tuple[int, int] =
     return df.select(id_col, F.explode(F.expr(char_ngrams_sql(norm, *ngrams))).alias("term"))
 
 
+def vocabulary(df: DataFrame, tokens: str, max_terms: int = 120_000, min_df: int = 1) -> DataFrame:
+    """(term, cf, df): the ``max_terms`` most frequent terms of a token array column (by
+    occurrences in all rows, ties in term order) among those of ``min_df`` rows or
+    more. Counts are exact, by one aggregate that is
+    combined before its shuffle."""
+    def marked(terms, occurrence: int, row: int):
+        return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(occurrence).alias("n"), F.lit(row).alias("r")))
+
+    each = F.concat(marked(F.col(tokens), 1, 0), marked(F.array_distinct(tokens), 0, 1))
+    counts = df.select(F.explode(each).alias("x")).groupBy("x.term").agg(F.sum("x.n").alias("cf"), F.sum("x.r").alias("df"))
+    return counts.where(F.col("df") >= min_df).orderBy(F.col("cf").desc(), "term").limit(max_terms)
+
+
 BROADCAST_TERMS = 1_000_000
 
 

@@ -205,6 +205,15 @@ class KeyedTable:
         self._write_manifest(out)
         return out
 
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """The rows of the given keys (``keys`` has the key columns), read from
+        the buckets that those fall into."""
+        m = self.manifest()
+        keys = R.keys_distinct(keys, self.key).persist()
+        touched = self._touched(self._placed(keys, m.buckets), m)
+        found = self._load([f for k in touched for f in m.buckets[k].folders])
+        return found.join(keys, self.key, "left_semi").select(*[f.name for f in self.schema.fields])
+
     def read(self) -> DataFrame:
         return self._load(f for b in self.manifest().buckets.values() for f in b.folders)
 

@@ -145,6 +145,23 @@ def q_txt_char_df(spark, d):
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+# the character block of a product model: its n-grams, min_df and bound on the vocabulary
+@register("txt_tfidf_char", oracle="""
+WITH s AS (SELECT p_partkey, regexp_replace(lower(p_name), '\\s\\s+', ' ', 'g') AS s FROM part),
+tf AS (SELECT p_partkey, substr(s, i, n) AS term, count(*) AS tf
+       FROM (SELECT *, unnest(range(1, length(s) - n + 2)) AS i FROM s, range(2, 6) AS k(n)) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term HAVING count(*) >= 2 ORDER BY cf DESC, term LIMIT 120000),
+w AS (SELECT p_partkey, term, tf, df, tf * (ln((1 + (SELECT count(*) FROM part)) / (1 + df)) + 1) AS raw FROM tf JOIN df USING (term))
+SELECT p_partkey, term, tf, df, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY p_partkey)), 6) AS weight FROM w
+""")
+def q_txt_tfidf_char(spark, d):
+    from sparkmart.plans.classify import HS_FOOD
+    p = Tables(spark, d).part
+    n = p.select(F.count(F.lit(1))).scalar()
+    w = TF.tfidf(TF.char_terms(p, "p_partkey", "p_name", HS_FOOD.char_ngrams), "p_partkey", n, HS_FOOD.min_df, HS_FOOD.max_terms)
+    return w.select("p_partkey", "term", "tf", "df", F.round("weight", 6).alias("weight"))
+
+
 @register("ml_stratified_split", oracle="""
 WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR) || '#42')) AS rn,
                   count(*) OVER (PARTITION BY quality) AS n FROM labels)

@@ -24,8 +24,8 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def _each_batch(spark: SparkSession, source: str, schema: StructType, checkpoint: str, run: Callable,
-                max_files_per_trigger: int | None, transform: Callable | None = None):
+def each_batch(spark: SparkSession, source: str, schema: StructType, checkpoint: str, run: Callable,
+               max_files_per_trigger: int | None = None, transform: Callable | None = None):
     """Calls ``run(batch, batch_id)`` for the new files of ``source`` until all are processed."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -47,7 +47,7 @@ def incremental_load(spark: SparkSession, source: str, schema: StructType, targe
     def load(batch: DataFrame, batch_id: int) -> None:
         target.insert_ignore(batch, batch_id, order_by)
 
-    return _each_batch(spark, source, schema, checkpoint, load, max_files_per_trigger, transform)
+    return each_batch(spark, source, schema, checkpoint, load, max_files_per_trigger, transform)
 
 
 def incremental_merge(spark: SparkSession, source: str, schema: StructType, state: KeyedTable, checkpoint: str,
@@ -58,7 +58,7 @@ def incremental_merge(spark: SparkSession, source: str, schema: StructType, stat
     def merge(batch: DataFrame, batch_id: int) -> None:
         state.merge(batch, batch_id, fold)
 
-    return _each_batch(spark, source, schema, checkpoint, merge, max_files_per_trigger, transform)
+    return each_batch(spark, source, schema, checkpoint, merge, max_files_per_trigger, transform)
 
 
 def stream_score(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
@@ -71,7 +71,7 @@ def stream_score(spark: SparkSession, source: str, schema: StructType, target: s
         todo = batch if label_col is None else batch.where(F.col(label_col).isNull())
         _write_batch(score(todo), target, batch_id)
 
-    return _each_batch(spark, source, schema, checkpoint, run, max_files_per_trigger)
+    return each_batch(spark, source, schema, checkpoint, run, max_files_per_trigger)
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
