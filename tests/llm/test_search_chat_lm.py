@@ -134,6 +134,10 @@ def test_elias_fano_access_and_search():
         for i, x in enumerate(v.tolist()):
             first.setdefault(x, i)
         assert s.find(q).tolist() == [first.get(x, -1) for x in q.tolist()]
+        lo = rng.integers(0, n + 1, len(q))
+        hi = np.minimum(n, lo + rng.integers(0, 40, len(q)))
+        for x, a, b, i in zip(q.tolist(), lo.tolist(), hi.tolist(), s.find_between(q, lo, hi).tolist()):
+            assert (a <= i < b and v[i] == x) if i >= 0 else x not in v[a:b].tolist()
 
 
 def _tokens(t):
@@ -145,33 +149,38 @@ def test_lm_equals_brute_force(spark):
     train = [i for i in range(len(texts)) if i % 3]
     rows = [(i, t) for i, t in enumerate(texts)]
     df = H.docs(spark, rows).selectExpr("*", "'n' as score")
-    mu = 3.0
-    model = ngram_lm.build(df.where("doc_id % 3 <> 0"), mu=mu, shards=5)
+    mu, mu3 = 3.0, 2.0
+    model = ngram_lm.build(df.where("doc_id % 3 <> 0"), mu=mu, mu3=mu3, shards=5, split=4)     # frequent contexts have several parts
+    assert any(key % ngram_lm.PARTS for key in model.triples)
     c = Counter(w for i in train for w in _tokens(texts[i]))
     pair = Counter(p for i in train for p in zip([0, *_tokens(texts[i])], _tokens(texts[i])))
+    three = Counter(p for i in train for p in zip([0, *_tokens(texts[i])], _tokens(texts[i]), _tokens(texts[i])[1:]))
     total, size = sum(c.values()), len(c)
 
     def prior(w):
         return (c[w] + 1) / (total + size + 1)
 
+    def two(u, v):
+        cu = len(train) if u == 0 else c[u]
+        return (pair[u, v] + mu * prior(v)) / (cu + mu) if cu else prior(v)
+
     for r in ngram_lm.score(df, model).collect():
         w = _tokens(texts[r["doc_id"]])
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(w), sum(c[x] > 0 for x in w), total)
         assert math.isclose(r["base_score"], sum(math.log10(prior(x)) for x in w), abs_tol=1e-9)
-        s = 0.0
-        for u, v in zip([0, *w], w):
-            cu = len(train) if u == 0 else c[u]
-            s += math.log10((pair[u, v] + mu * prior(v)) / (cu + mu)) if u == 0 or cu else math.log10(prior(v))
-        assert abs(r["score"] - s) < 3e-4 * len(w)
+        s = math.log10(two(0, w[0]))
+        for u, v, x in zip([0, *w], w, w[1:]):
+            s += math.log10((three[u, v, x] + mu3 * two(v, x)) / (pair[u, v] + mu3))
+        assert abs(r["score"] - s) < 8e-4 * len(w)
 
 
 def test_lm_shards_hold_a_distribution(spark):
     texts = H.random_texts(6, 60, ["x", "y", "z", "w"], 1, 10)
     model = ngram_lm.build(H.docs(spark, list(enumerate(texts))), shards=3)
-    words, successors = model.open()
+    words, successors, continuations = model.open()
     for u in range(model.size + 1):
         ids, logp = [], []
-        for s in model.present:
+        for s in model.pairs:
             i, p = successors.successors(s, u)
             ids += i.tolist()
             logp += p.tolist()
@@ -183,6 +192,18 @@ def test_lm_shards_hold_a_distribution(spark):
         if not ids:
             continue
         assert abs(sum(10.0 ** np.array(logp)) + model.mu / (cu + model.mu) * (rest + unknown) - 1) < 1e-3
+        for v in ids:       # the third level: what the pair's followers leave is its share of the second one
+            v, every = np.array([v]), np.arange(model.size)
+            shard, place, _, share = successors.lookup(np.array([u]), v, np.array([cu]))
+            w, three = continuations.successors(int(shard[0]) * ngram_lm.PARTS, int(place[0])) if shard[0] * ngram_lm.PARTS in model.triples else ([], [])
+            if not len(w):
+                continue        # the end of a text
+            cv = ngram_lm._counts_of(words, v)[0]
+            _, at, prob, _ = successors.lookup(np.repeat(v, model.size), every, np.full(model.size, cv))
+            back = model.mu / (cv + model.mu)
+            two = np.where(at >= 0, 10.0 ** (prob / -ngram_lm.QUANTUM), back * words.prior(ngram_lm._counts_of(words, every)))
+            left = np.delete(two, w).sum() + back * unknown
+            assert abs(sum(10.0 ** three) + 10.0 ** (share[0] / -ngram_lm.QUANTUM) * left - 1) < 3e-3
 
 
 def test_lm_without_training_texts(spark):
