@@ -192,16 +192,20 @@ up AS (SELECT conv_id, turn, min(reply_to) AS top FROM reply JOIN own USING (rid
 chain AS (SELECT conv_id, turn, top FROM up UNION ALL
           SELECT c.conv_id, c.turn, u.top FROM chain c JOIN up u ON u.conv_id = c.conv_id AND u.turn = c.top),
 roots AS (SELECT conv_id, turn, min(top) AS top FROM chain GROUP BY ALL)
+SELECT *, CASE WHEN conv_id IS NOT NULL AND turn IS NOT NULL THEN row_number() OVER (PARTITION BY conv_id ORDER BY
+         thread NULLS LAST, turn NULLS FIRST, role NULLS FIRST, text, reply_to NULLS FIRST, n_quotes, n_linked) END AS position,
+       '<|' || coalesce(role, 'user') || '|>' || chr(10) || text || chr(10) || '<|end|>' AS chat
+FROM (
 SELECT c.conv_id, c.turn, c.role, reply_to, coalesce(top, c.turn) AS thread, CAST(coalesce(n_quotes, 0) AS INTEGER) AS n_quotes,
        CAST(coalesce(n_linked, 0) AS INTEGER) AS n_linked, coalesce(own.text, '') AS text
 FROM (SELECT row_number() OVER () AS rid, * FROM conversations) c LEFT JOIN own USING (rid) LEFT JOIN reply USING (rid)
-LEFT JOIN roots ON roots.conv_id = c.conv_id AND roots.turn = c.turn
+LEFT JOIN roots ON roots.conv_id = c.conv_id AND roots.turn = c.turn)
 """
 
 
 @register("op4_quote_linking", QUOTES_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quote_linking.link(table(spark, sf_dir, "conversations"))
+    return quote_linking.render(quote_linking.in_order(quote_linking.link(table(spark, sf_dir, "conversations"))))
 
 
 @register("op10_ngram_lm")

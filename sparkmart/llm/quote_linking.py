@@ -8,7 +8,7 @@ line has that hash; the first such message before the quoting one is the
 original. A message replies to the original of its shallowest linked quote
 (the first of them). Conversations come as messages without quotes, in reply
 order: by ``thread`` (the turn of the thread's first message), then ``turn``,
-so every reply stands behind its original.
+so every reply stands behind its original; ``in_order`` numbers them.
 
 A passage that is not found as a whole is looked up line by line. "On ...
 wrote:" lines right before a quote belong to the quote. Each quoted passage
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import map_arrow, written
+from sparkmart.operators.relational import with_surrogate_key
 
 _QUOTE = re.compile(r"(?:[ \t]*>)+")
 _ATTRIBUTION = re.compile(r"\s*on .* wrote:\s*", re.IGNORECASE)
@@ -120,7 +121,21 @@ def _roots(up: DataFrame) -> DataFrame:
             return up
 
 
+def in_order(messages: DataFrame) -> DataFrame:
+    """``messages`` of ``link`` with ``position``: the place (from 1) in the reply
+    order of the conversation, messages of one turn by their other columns; null
+    where conversation or turn is. All rows are sorted by range and numbered
+    through, less the number at which their conversation begins, so a conversation
+    may lie in many tasks."""
+    order = [F.col("conv_id"), F.col("thread").asc_nulls_last(), F.col("turn"), F.col("role"), F.col("text"),
+             F.col("reply_to"), F.col("n_quotes"), F.col("n_linked")]
+    placed = with_surrogate_key(messages, "_place", order)
+    begins = placed.groupBy("conv_id").agg(F.min("_place").alias("_begin"))
+    return placed.join(begins, "conv_id", "left").withColumn(
+        "position", F.when(F.col("turn").isNotNull(), F.col("_place") - F.col("_begin") + 1)).drop("_place", "_begin")
+
+
 def render(messages: DataFrame) -> DataFrame:
-    """``messages`` of ``link`` with ``chat``: the message as a block of a chat
-    transcript; in the order (conv_id, thread, turn) they make the conversation."""
+    """``messages`` with ``chat``: the message as a block of a chat transcript; by
+    ``position`` they make the conversation."""
     return messages.withColumn("chat", F.concat(F.lit("<|"), F.coalesce("role", F.lit("user")), F.lit("|>\n"), "text", F.lit("\n<|end|>")))

@@ -118,9 +118,16 @@ def test_quotes_are_linked_to_their_originals(spark):
     assert by[None, 1][0] is None and by[4, None] == (None, None, 0, 0, "x")
     order = sorted((r for r in got if r[0] == 1), key=lambda r: (r[4], r[1]))
     assert [r[1] for r in order] == [0, 1, 3, 2, 5, 4]
-    chat = quote_linking.render(quote_linking.link(df)).where("conv_id = 1 and turn = 1").first()["chat"]
-    assert chat == "<|assistant|>\nDown the road.\n<|end|>"
+    ordered = quote_linking.render(quote_linking.in_order(quote_linking.link(df))).collect()
+    assert len(ordered) == len(rows)
+    place = sorted((r["conv_id"], r["position"], r["turn"]) for r in ordered if r["position"])
+    assert place == [(1, 1, 0), (1, 2, 1), (1, 3, 3), (1, 4, 2), (1, 5, 5), (1, 6, 4), (2, 1, 0), (2, 2, 1), (3, 1, 0), (3, 2, 1), (3, 3, 1),
+                     (5, 1, 0)]
+    assert sorted((r["conv_id"] or 0, r["turn"] or 0) for r in ordered if r["position"] is None) == [(0, 1), (4, 0)]
+    chat = "\n".join(r["chat"] for r in sorted((r for r in ordered if r["conv_id"] == 1), key=lambda r: r["position"])[1:3])
+    assert chat == "<|assistant|>\nDown the road.\n<|end|>\n<|user|>\nThanks!\n<|end|>"
     assert quote_linking.link(df.where("false")).collect() == []
+    assert quote_linking.in_order(quote_linking.link(df.where("false"))).collect() == []
 
 
 def test_elias_fano_access_and_search():
