@@ -10,13 +10,19 @@ Arrow batches, inside the executors.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from functools import cache
+from html import unescape
 from html.parser import HTMLParser
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmart.session import written
+
 NODE_FIELDS = ("pos int, tag string, cls string, attrs map<string,string>, "
                "text string, scope string, scope_pos int, parent_cls string")
 ERROR_TAG = "#error"   # the row of a page that could not be read to its end; its text is the error
@@ -25,76 +31,156 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
          "source", "track", "wbr"}
 
 
-def _matches(sel: str, tag: str, classes: list[str], elem_id: str | None = None) -> bool:
-    """'tag', '.class', 'tag.class.class' and 'tag#id' selectors."""
+@cache
+def _selector(sel: str) -> tuple[str, str | None, frozenset[str]]:
+    """(tag, id, classes) of 'tag', '.class', 'tag.class.class' and 'tag#id' selectors."""
     name, _, rest = sel.partition("#") if "#" in sel else sel.partition(".")
+    return (name, rest, frozenset()) if "#" in sel else (name, None, frozenset(filter(None, rest.split("."))))
+
+
+def _matches(sel: str, tag: str, classes: list[str], elem_id: str | None = None) -> bool:
+    name, own_id, of_class = _selector(sel)
     if name and name != tag:
         return False
-    return elem_id == rest if "#" in sel else set(filter(None, rest.split("."))) <= set(classes)
+    return elem_id == own_id if own_id is not None else of_class.issubset(classes)
 
 
-class _NodeParser(HTMLParser):
+class _Nodes:
+    """The node rows of one page, built from its start tags, end tags and texts."""
+
     def __init__(self, scopes: Sequence[str], keep: set[str] | None):
-        super().__init__(convert_charrefs=True)
-        self.scopes, self.keep = list(scopes), keep
-        self.rows: list[tuple] = []
-        # frame: [tag, row_index, text_parts, class_text, _, own_scope, own_scope_pos]
-        self.stack: list[list] = []
+        self.scopes, self.keep = scopes, keep
+        self.rows: list[list] = []
+        self.texts: list[str] = []      # stripped, in page order; an element's text is a run of them
+        # frame: [tag, row, first text, class text, scope and its place for the elements inside]
+        self.stack: list[tuple] = []
         self.pos = 0
 
-    def _scope(self):
-        for frame in reversed(self.stack):
-            if frame[5] is not None:
-                return frame[5], frame[6]
-        return None, None
-
-    def handle_starttag(self, tag, attrs):
-        amap = {k: (v if v is not None else "") for k, v in attrs}
-        classes = amap.get("class", "").split()
-        own = next((s for s in self.scopes if _matches(s, tag, classes, amap.get("id"))), None)
-        scope, scope_pos = self._scope()
-        parent_cls = self.stack[-1][3] if self.stack else None
+    def start(self, tag: str, attrs: dict[str, str]) -> None:
+        classes = attrs["class"].split() if "class" in attrs else []
+        own = None
+        for s in self.scopes:
+            if _matches(s, tag, classes, attrs.get("id")):
+                own = s
+                break
+        _, _, _, parent_cls, scope, scope_pos = self.stack[-1] if self.stack else _TOP
         self.pos += 1
-        idx = None
-        cls = " ".join(classes)
+        row, cls = None, " ".join(classes)
         if self.keep is None or tag in self.keep or own is not None:
-            idx = len(self.rows)
-            self.rows.append([self.pos, tag, cls, amap, None, scope, scope_pos, parent_cls])
-        frame = [tag, idx, [], cls, None, own, self.pos if own else None]
-        if tag in _VOID:
-            return
-        self.stack.append(frame)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+            row = [self.pos, tag, cls, attrs, None, scope, scope_pos, parent_cls]
+            self.rows.append(row)
+        if tag not in _VOID:
+            inside = (scope, scope_pos) if own is None else (own, self.pos)
+            self.stack.append((tag, row, len(self.texts), cls, *inside))
 
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                for frame in self.stack[i:][::-1]:
-                    self._close(frame)
-                del self.stack[i:]
+                self._close(i)
                 return
 
-    def _close(self, frame):
-        if frame[1] is not None:
-            self.rows[frame[1]][4] = "".join(frame[2])
+    def _close(self, at: int) -> None:
+        for _, row, first, *_ in self.stack[at:]:
+            if row is not None:
+                row[4] = "".join(self.texts[first:])
+        del self.stack[at:]
 
-    def handle_data(self, data):
+    def text(self, data: str) -> None:
         s = data.strip()
         if s:
-            for frame in self.stack:
-                if frame[1] is not None:
-                    frame[2].append(s)
-
-    def finish(self):
-        self.close()
-        for frame in self.stack[::-1]:
-            self._close(frame)
-        self.stack = []
+            self.texts.append(s)
+
+    def finish(self) -> list[list]:
+        self._close(0)
         return self.rows
 
 
+_TOP = (None, None, 0, None, None, None)
+
+
+class _NodeParser(HTMLParser):
+    """Any page, through the standard library's parser."""
+
+    def __init__(self, nodes: _Nodes):
+        super().__init__(convert_charrefs=True)
+        self.nodes = nodes
+
+    def handle_starttag(self, tag, attrs):
+        self.nodes.start(tag, {k: (v if v is not None else "") for k, v in attrs})
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        self.nodes.end(tag)
+
+    def handle_data(self, data):
+        self.nodes.text(data)
+
+
+# a page of these tokens only means the same to every HTML parser
+_ATTRIBUTE = r'[ \t\n\r\f]+[A-Za-z][A-Za-z0-9_-]*="[^"<>&]*"'
+_TOKEN = re.compile(rf'<(?:/([a-z][a-z0-9]*)|([a-z][a-z0-9]*)((?:{_ATTRIBUTE})*)[ \t\n\r\f]*/?|!(?i:doctype) [^<>]*)>|([^<]+)')
+_NAME_VALUE = re.compile(r'\s+([^=]+)="([^"]*)"')
+_RAW_TEXT = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
+
+
+def _plain_tokens(html: str) -> list[tuple[str, str, str, str]] | None:
+    """(end tag, start tag, attributes, text) of a page without comments, raw
+    text with markup, loose quotes or the like; None for any other page."""
+    out, at, raw = [], 0, None
+    for m in _TOKEN.finditer(html):
+        if m.start() != at:
+            return None
+        at = m.end()
+        token = m.groups("")
+        if raw is not None and not token[3]:      # raw text ends with its own end tag only
+            if token[0] != raw:
+                return None
+            raw = None
+        elif token[1] in _RAW_TEXT:
+            if token[1] in ("script", "style", "plaintext"):      # their text is not unescaped
+                return None
+            raw = token[1]
+        out.append(token)
+    return out if at == len(html) and raw is None else None
+
+
+def page_nodes(html: str, scopes: Sequence[str], keep: set[str] | None) -> list[list]:
+    """The node rows of a page, in page order; a page that cannot be read to its
+    end has the rows before that and one of ``ERROR_TAG``."""
+    nodes = _Nodes(scopes, keep)
+    try:
+        tokens = _plain_tokens(html)
+        if tokens is None:
+            parser = _NodeParser(nodes)
+            parser.feed(html)
+            parser.close()
+        else:
+            for end, tag, attrs, text in tokens:
+                if text:
+                    nodes.text(unescape(text) if "&" in text else text)
+                elif tag:
+                    nodes.start(tag, {k.lower(): v for k, v in _NAME_VALUE.findall(attrs)} if attrs else {})
+                elif end:
+                    nodes.end(end)
+        return nodes.finish()
+    except Exception as e:  # what was read stays, and the page is reported
+        return [*nodes.rows, [nodes.pos + 1, ERROR_TAG, "", {}, f"{type(e).__name__}: {e}", None, None, None]]
+
+
+PAGES_A_TASK = 5000
+PARSE_BYTES = 1 << 20      # of pages, between two batches of nodes
+
+
+def _dealt(pages: DataFrame) -> DataFrame:
+    """The pages dealt over all cores, and over more tasks the more there are: a small
+    file may hold very many pages, and its reader would parse them in one task."""
+    n, cores = pages.count(), pages.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-n // PAGES_A_TASK), min(2 * cores, -(-n // 200)), 1)
+    return pages.repartition(tasks, *pages.columns)
+
+
 def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                 scopes: Sequence[str] = (), keep_tags: Sequence[str] | None = None,
                 materialize: bool = True) -> DataFrame:
@@ -103,34 +189,38 @@ def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     emitted elements (scope elements are always emitted). ``text`` follows
     "get_text(strip=True)": stripped text pieces of the subtree, joined.
 
-    Jobs read the node table several times (fields, scopes, page attributes),
-    so by default it is written once as a reliable checkpoint into the
-    session's shared checkpoint folder: the Python parse runs exactly once
-    per page, and a lost executor re-reads the checkpoint instead of
-    re-parsing."""
+    Jobs that read the node table several times (fields, scopes, page attributes)
+    have it written once as Parquet below the session's shared checkpoint folder: the
+    Python parse runs once per page, and a lost executor re-reads the copy instead of
+    re-parsing. A job that reads it once passes ``materialize=False``."""
     keep = set(keep_tags) if keep_tags else None
     scopes = list(scopes)
 
     kind = pages.schema[id_col].dataType.simpleString()
-    cols = ["page_id", "pos", "tag", "cls", "attrs", "text", "scope", "scope_pos", "parent_cls"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for pid, html in zip(pdf[id_col].tolist(), pdf[html_col].tolist()):
-                if html is None:
-                    continue
-                p = _NodeParser(scopes, keep)
-                try:
-                    p.feed(html)
-                    rows = p.finish()
-                except Exception as e:  # what was read stays, and the page is reported
-                    rows = [*p.rows, [p.pos + 1, ERROR_TAG, "", {}, f"{type(e).__name__}: {e}", None, None, None]]
-                out.extend([pid, *r] for r in rows)
-            yield pd.DataFrame(out, columns=cols, dtype="object")
-
-    nodes = pages.select(id_col, html_col).mapInPandas(run, f"page_id {kind}, {NODE_FIELDS}")
-    return nodes.checkpoint(eager=True) if materialize else nodes
+    names = ["page_id", "pos", "tag", "cls", "attrs", "text", "scope", "scope_pos", "parent_cls"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, int(batch.num_rows * PARSE_BYTES // max(batch.nbytes, 1)))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                rows, of_page = [], []
+                for i, html in enumerate(part.column(1).to_pylist()):
+                    if html is not None:
+                        found = page_nodes(html, scopes, keep)
+                        rows += found
+                        of_page += [i] * len(found)
+                pos, tag, cls, attrs, text, scope, scope_pos, parent = zip(*rows) if rows else [()] * 8
+                ends = np.cumsum([0, *map(len, attrs)])
+                pairs = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array([k for a in attrs for k in a], pa.string()),
+                                                pa.array([v for a in attrs for v in a.values()], pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(of_page, pa.int32())), pa.array(pos, pa.int32()), pa.array(tag, pa.string()),
+                     pa.array(cls, pa.string()), pairs, pa.array(text, pa.string()), pa.array(scope, pa.string()),
+                     pa.array(scope_pos, pa.int32()), pa.array(parent, pa.string())], names=names)
+
+    nodes = _dealt(pages.select(id_col, html_col)).mapInArrow(run, f"page_id {kind}, {NODE_FIELDS}")
+    return written(nodes, "nodes") if materialize else nodes
 
 
 def parse_rejects(nodes: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def page_fields(pages: DataFrame) -> DataFrame:
 
 def attr_values(pages: DataFrame, tag: str, name: str) -> DataFrame:
     """(page_id, pos, value) of attribute ``name`` on ``tag`` elements."""
-    nodes = H.parse_nodes(pages, keep_tags=[tag])
+    nodes = H.parse_nodes(pages, keep_tags=[tag], materialize=False)
     return nodes.filter(H.attr(name).isNotNull()).select("page_id", "pos", H.attr(name).alias(name))
 
 
@@ -100,7 +100,8 @@ def kv_rows(pages: DataFrame, table_class: str | None = None, table_no: int | No
     key and the next cell the value; rows where both are missing are dropped.
     ``table_class`` (one or more class names) keeps tables of that class,
     ``table_no`` the n-th of them on the page (from 1)."""
-    nodes = H.parse_nodes(pages, scopes=["tr", "table"], keep_tags=["tr", "th", "td", "table"])
+    nodes = H.parse_nodes(pages, scopes=["tr", "table"], keep_tags=["tr", "th", "td", "table"],
+                          materialize=bool(table_class or table_no))
     cells = nodes.filter(F.col("tag").isin("th", "td") & (F.col("scope") == "tr"))
     if table_class or table_no:
         of_class = F.lit(True)
@@ -127,7 +128,7 @@ def kv_rows(pages: DataFrame, table_class: str | None = None, table_no: int | No
 
 def meta_tags(pages: DataFrame) -> DataFrame:
     """(page_id, name, property, content): the first <meta> of each name and property."""
-    nodes = H.parse_nodes(pages, keep_tags=["meta"])
+    nodes = H.parse_nodes(pages, keep_tags=["meta"], materialize=False)
     tags = nodes.filter((F.col("tag") == "meta") & H.attr("content").isNotNull())
     return tags.groupBy("page_id", H.attr("name").alias("name"), H.attr("property").alias("property")).agg(
         F.min_by(H.attr("content"), "pos").alias("content"))
@@ -135,7 +136,7 @@ def meta_tags(pages: DataFrame) -> DataFrame:
 
 def info_images(pages: DataFrame, container: str = "div.product_info_area") -> DataFrame:
     """(page_id, pos, img_url): ``src`` of the images inside the container, no GIFs."""
-    nodes = H.parse_nodes(pages, scopes=[container], keep_tags=["img"])
+    nodes = H.parse_nodes(pages, scopes=[container], keep_tags=["img"], materialize=False)
     src = H.attr("src")
     return nodes.filter((F.col("tag") == "img") & (F.col("scope") == container) & (src != "")
                         & ~F.lower(src).endswith(".gif")).select("page_id", "pos", src.alias("img_url"))
@@ -165,7 +166,7 @@ def product_rows(pages: DataFrame) -> DataFrame:
     thumbnail falls back to og:image when it is missing or about:blank."""
     info, seller, score = "div.review_info_list", "table.row-table.mb--40", "button#review_show"
     nodes = H.parse_nodes(pages, scopes=[info, seller, score, "div.card-info-del_wrap", "div.card_main-image"],
-                          keep_tags=["span", "strong", "del", "img", "meta", "td", "div"])
+                          keep_tags=["span", "strong", "del", "img", "meta", "td", "div"], materialize=False)
     tag, text, scope = F.col("tag"), F.col("text"), F.col("scope")
     cell = (tag == "td") & (scope == seller)
     per_page = nodes.groupBy("page_id").agg(
@@ -264,7 +265,7 @@ def reviews(pages: DataFrame, item_class: str = "review_info_info_item") -> Data
 
 def embedded_json(pages: DataFrame, script_id: str = "__NEXT_DATA__") -> DataFrame:
     """Text of ``<script id=...>`` per page (first one), for JSON path reads."""
-    nodes = H.parse_nodes(pages, keep_tags=["script"])
+    nodes = H.parse_nodes(pages, keep_tags=["script"], materialize=False)
     s = nodes.filter(H.attr("id") == script_id)
     return H.first_by_pos(s, ["page_id"], F.col("text"), "json_text")
 
