@@ -68,7 +68,7 @@ def q_emb_orphans(spark, d):
 SELECT p_name, count(*) AS n_rows, 1 AS n_vectors, 1 AS n_names_of_vector, true AS inside_extended FROM part GROUP BY p_name
 """)
 def q_emb_names(spark, d):
-    p = Tables(spark, d).part
+    p = Tables(spark, d).part.repartition("p_partkey", "p_name")      # a small file: its vectors are made on all cores
     encode = E.hashed_char_encoder()
     v = encode(encode(p.select("p_name", F.concat("p_name", F.lit(" extra")).alias("longer")), "p_name"), "longer", "wider")
     places = lambda c: F.filter(F.transform(c, lambda x, i: F.when(x > 0, i)), lambda i: i.isNotNull())
