@@ -74,5 +74,14 @@ def stream_score(spark: SparkSession, source: str, schema: StructType, target: s
     return each_batch(spark, source, schema, checkpoint, run, max_files_per_trigger)
 
 
+def _target(spark: SparkSession, path: str, schema: StructType, before_batch: int) -> DataFrame:
+    """The target as it was before a batch; a target that is not there yet is empty."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):      # any other read error is raised
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(StructType(schema.fields[:]).add("batch_id", "long")).parquet(path)
+    return df.filter(F.col("batch_id") < before_batch).drop("batch_id")
+
+
 def read_target(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
