@@ -11,7 +11,7 @@ Arrow batches, inside the executors.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 from html import unescape
 from html.parser import HTMLParser
@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
 from sparkmart.session import written
 
@@ -56,17 +58,22 @@ class _Nodes:
         self.stack: list[tuple] = []
         self.pos = 0
 
-    def start(self, tag: str, attrs: dict[str, str]) -> None:
+    def described(self, tag: str, attrs: dict[str, str]) -> tuple[dict[str, str], str, str | None, bool]:
+        """(attributes, class text, own scope, whether it gets a row) of a start tag, on any page."""
         classes = attrs["class"].split() if "class" in attrs else []
         own = None
         for s in self.scopes:
             if _matches(s, tag, classes, attrs.get("id")):
                 own = s
                 break
+        return attrs, " ".join(classes), own, self.keep is None or tag in self.keep or own is not None
+
+    def start(self, tag: str, attrs: dict[str, str]) -> None:
+        attrs, cls, own, kept = self.described(tag, attrs)
         _, _, _, parent_cls, scope, scope_pos = self.stack[-1] if self.stack else _TOP
         self.pos += 1
-        row, cls = None, " ".join(classes)
-        if self.keep is None or tag in self.keep or own is not None:
+        row = None
+        if kept:
             row = [self.pos, tag, cls, attrs, None, scope, scope_pos, parent_cls]
             self.rows.append(row)
         if tag not in _VOID:
@@ -120,55 +127,90 @@ class _NodeParser(HTMLParser):
 
 # a page of these tokens only means the same to every HTML parser
 _ATTRIBUTE = r'[ \t\n\r\f]+[A-Za-z][A-Za-z0-9_-]*="[^"<>&]*"'
-_TOKEN = re.compile(rf'<(?:/([a-z][a-z0-9]*)|([a-z][a-z0-9]*)((?:{_ATTRIBUTE})*)[ \t\n\r\f]*/?|!(?i:doctype) [^<>]*)>|([^<]+)')
+_TOKEN = re.compile(rf'<(?:/([a-z][a-z0-9]*)|([a-z][a-z0-9]*)((?:{_ATTRIBUTE})*)[ \t\n\r\f]*/?|!(?i:doctype) [^<>]*)>|([^<]+)|(<)')
 _NAME_VALUE = re.compile(r'\s+([^=]+)="([^"]*)"')
 _RAW_TEXT = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
 
 
-def _plain_tokens(html: str) -> list[tuple[str, str, str, str]] | None:
-    """(end tag, start tag, attributes, text) of a page without comments, raw
-    text with markup, loose quotes or the like; None for any other page."""
-    out, at, raw = [], 0, None
-    for m in _TOKEN.finditer(html):
-        if m.start() != at:
-            return None
-        at = m.end()
-        token = m.groups("")
-        if raw is not None and not token[3]:      # raw text ends with its own end tag only
-            if token[0] != raw:
-                return None
-            raw = None
-        elif token[1] in _RAW_TEXT:
-            if token[1] in ("script", "style", "plaintext"):      # their text is not unescaped
-                return None
-            raw = token[1]
-        out.append(token)
-    return out if at == len(html) and raw is None else None
+KNOWN_TAGS = 4096      # start tags, as they are written, whose description a task holds
 
 
-def page_nodes(html: str, scopes: Sequence[str], keep: set[str] | None) -> list[list]:
+def _plain_nodes(html: str, nodes: _Nodes, known: dict) -> list[list] | None:
+    """What ``nodes`` would make of a page without comments, raw text with markup,
+    loose quotes or the like, in one loop; None for any other page. ``known`` holds
+    what start tags, as they are written, were found to be."""
+    rows, stack, texts, pos, raw = [], [], [], 0, None
+    cls = scope = scope_pos = None                # of the innermost open element
+    for end, tag, attrs, text, loose in _TOKEN.findall(html):
+        if text:
+            text = (unescape(text) if "&" in text else text).strip()
+            if text:
+                texts.append(text)
+            continue
+        if loose or raw is not None and end != raw:      # raw text ends with its own end tag only
+            return None
+        if tag:
+            found = known.get((tag, attrs))
+            if found is None:
+                if tag in ("script", "style", "plaintext"):      # their text is not unescaped
+                    return None
+                found = nodes.described(tag, {k.lower(): v for k, v in _NAME_VALUE.findall(attrs)} if attrs else {})
+                found = (*found, tag in _VOID, tag if tag in _RAW_TEXT else None)
+                if len(known) >= KNOWN_TAGS:
+                    known.clear()
+                known[tag, attrs] = found
+            of_tag, own_cls, own, kept, void, raw = found
+            pos += 1
+            row = None
+            if kept:
+                row = [pos, tag, own_cls, of_tag, None, scope, scope_pos, cls]
+                rows.append(row)
+            if not void:
+                stack.append((tag, row, len(texts), cls, scope, scope_pos))
+                cls = own_cls
+                if own is not None:
+                    scope, scope_pos = own, pos
+        elif end:
+            raw = None
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == end:
+                    break
+            else:
+                continue
+            while len(stack) > i:
+                _, row, first, cls, scope, scope_pos = stack.pop()
+                if row is not None:
+                    row[4] = "".join(texts[first:])
+    if raw is not None:
+        return None
+    for _, row, first, *_ in stack:
+        if row is not None:
+            row[4] = "".join(texts[first:])
+    return rows
+
+
+def page_nodes(html: str, scopes: Sequence[str], keep: set[str] | None, known: dict | None = None) -> list[list]:
     """The node rows of a page, in page order; a page that cannot be read to its
-    end has the rows before that and one of ``ERROR_TAG``."""
+    end has the rows before that and one of ``ERROR_TAG``. ``known`` may be passed on from
+    page to page that are read with the same scopes and tags."""
     nodes = _Nodes(scopes, keep)
     try:
-        tokens = _plain_tokens(html)
-        if tokens is None:
-            parser = _NodeParser(nodes)
-            parser.feed(html)
-            parser.close()
-        else:
-            for end, tag, attrs, text in tokens:
-                if text:
-                    nodes.text(unescape(text) if "&" in text else text)
-                elif tag:
-                    nodes.start(tag, {k.lower(): v for k, v in _NAME_VALUE.findall(attrs)} if attrs else {})
-                elif end:
-                    nodes.end(end)
+        rows = _plain_nodes(html, nodes, {} if known is None else known)
+        if rows is not None:
+            return rows
+        parser = _NodeParser(nodes)
+        parser.feed(html)
+        parser.close()
         return nodes.finish()
     except Exception as e:  # what was read stays, and the page is reported
         return [*nodes.rows, [nodes.pos + 1, ERROR_TAG, "", {}, f"{type(e).__name__}: {e}", None, None, None]]
 
 
+def _plain_tokens(html: str) -> list | None:
+    """The tokens of a page that is read by them, None for any other page."""
+    return None if _plain_nodes(html, _Nodes((), None), {}) is None else _TOKEN.findall(html)
+
+
 PAGES_A_TASK = 5000
 PARSE_BYTES = 1 << 20      # of pages, between two batches of nodes
 
@@ -193,13 +235,38 @@ def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     have it written once as Parquet below the session's shared checkpoint folder: the
     Python parse runs once per page, and a lost executor re-reads the copy instead of
     re-parsing. A job that reads it once passes ``materialize=False``."""
-    keep = set(keep_tags) if keep_tags else None
-    scopes = list(scopes)
+    def columns(rows: list) -> list[pa.Array]:
+        pos, tag, cls, attrs, text, scope, scope_pos, parent = zip(*rows) if rows else [()] * 8
+        ends = np.cumsum([0, *map(len, attrs)])
+        pairs = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array([k for a in attrs for k in a], pa.string()),
+                                        pa.array([v for a in attrs for v in a.values()], pa.string()))
+        return [pa.array(pos, pa.int32()), pa.array(tag, pa.string()), pa.array(cls, pa.string()), pairs, pa.array(text, pa.string()),
+                pa.array(scope, pa.string()), pa.array(scope_pos, pa.int32()), pa.array(parent, pa.string())]
+
+    nodes = _parsed(pages.select(id_col, html_col), scopes, keep_tags, lambda rows: rows, columns, NODE_FIELDS)
+    return written(nodes, "nodes") if materialize else nodes
+
+
+def page_rows(pages: DataFrame, pick: Callable[[list[list]], list[tuple]], fields: pa.Schema, scopes: Sequence[str] = (),
+              keep_tags: Sequence[str] | None = None, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """The rows (columns ``fields``) that ``pick`` makes of each page's nodes (lists in the order
+    of ``NODE_FIELDS``), beside the ``page_id``: of a job that needs little of a node table, so that
+    the rest of it does not leave the parse."""
+    def columns(rows: list) -> list[pa.Array]:
+        return [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(fields), fields)]
 
-    kind = pages.schema[id_col].dataType.simpleString()
-    names = ["page_id", "pos", "tag", "cls", "attrs", "text", "scope", "scope_pos", "parent_cls"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in from_arrow_schema(fields))
+    return _parsed(pages.select(id_col, html_col), scopes, keep_tags, pick, columns, schema)
+
+
+def _parsed(pages: DataFrame, scopes: Sequence[str], keep_tags: Sequence[str] | None, pick: Callable, columns: Callable,
+            fields: str) -> DataFrame:
+    """``page_id`` and ``columns`` of the rows that ``pick`` makes of each page's nodes."""
+    keep, scopes = set(keep_tags) if keep_tags else None, list(scopes)
+    kind = pages.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for batch in batches:
             step = max(1, int(batch.num_rows * PARSE_BYTES // max(batch.nbytes, 1)))
             for at in range(0, batch.num_rows, step):
@@ -207,20 +274,15 @@ def parse_nodes(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                 rows, of_page = [], []
                 for i, html in enumerate(part.column(1).to_pylist()):
                     if html is not None:
-                        found = page_nodes(html, scopes, keep)
+                        found = pick(page_nodes(html, scopes, keep, known))
                         rows += found
                         of_page += [i] * len(found)
-                pos, tag, cls, attrs, text, scope, scope_pos, parent = zip(*rows) if rows else [()] * 8
-                ends = np.cumsum([0, *map(len, attrs)])
-                pairs = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array([k for a in attrs for k in a], pa.string()),
-                                                pa.array([v for a in attrs for v in a.values()], pa.string()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(of_page, pa.int32())), pa.array(pos, pa.int32()), pa.array(tag, pa.string()),
-                     pa.array(cls, pa.string()), pairs, pa.array(text, pa.string()), pa.array(scope, pa.string()),
-                     pa.array(scope_pos, pa.int32()), pa.array(parent, pa.string())], names=names)
-
-    nodes = _dealt(pages.select(id_col, html_col)).mapInArrow(run, f"page_id {kind}, {NODE_FIELDS}")
-    return written(nodes, "nodes") if materialize else nodes
+                ids = part.column(0).take(pa.array(of_page, pa.int32()))
+                yield pa.RecordBatch.from_arrays([ids, *columns(rows)], names=names)
+
+    schema = f"page_id {kind}, {fields}"
+    names = StructType.fromDDL(schema).names
+    return _dealt(pages).mapInArrow(run, schema)
 
 
 def parse_rejects(nodes: DataFrame) -> DataFrame:

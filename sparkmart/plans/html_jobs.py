@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,20 +77,39 @@ def price_cards(pages: DataFrame, card_class: str = "product-section-ul-li", rat
     """Product ids (digit-only ``data-product-id``) zipped by position with
     the price cards of the page, cut to the shorter list; price text has the
     thousands separators removed and is read as a number when it is digits."""
-    nodes = H.parse_nodes(pages, scopes=[f"div.{card_class}"], keep_tags=["div", "span", "strong", "a"])
-    ids = nodes.filter(H.attr("data-product-id").rlike("^[0-9]+$")).select(
-        "page_id", "pos", H.attr("data-product-id").alias("kok_product_id"))
-    ids = ids.withColumn("i", F.row_number().over(Window.partitionBy("page_id").orderBy("pos")))
-    cards = nodes.filter((F.col("tag") == "div") & H.has_class(card_class)).select("page_id", F.col("pos").alias("card_pos"))
-    cards = cards.withColumn("i", F.row_number().over(Window.partitionBy("page_id").orderBy("card_pos")))
-    inner = nodes.filter(F.col("scope") == f"div.{card_class}")
-    rate = H.first_by_pos(inner.filter(H.has_class(rate_class)), ["page_id", "scope_pos"], F.col("text"), "rate")
-    price = H.first_by_pos(inner.filter((F.col("tag") == "strong") & H.parent_has_class(price_class)),
-                           ["page_id", "scope_pos"], F.col("text"), "price")
-    c = cards.join(rate.withColumnRenamed("scope_pos", "card_pos"), ["page_id", "card_pos"], "left") \
-        .join(price.withColumnRenamed("scope_pos", "card_pos"), ["page_id", "card_pos"], "left")
+    card = f"div.{card_class}"
+
+    def pick(nodes):
+        """An entry per product id and per card; a card's has its first rate and price."""
+        ids, cards = [], {}
+        for pos, tag, cls, attrs, text, scope, scope_pos, parent_cls in nodes:
+            if "data-product-id" in attrs:
+                ids.append((True, pos, attrs["data-product-id"], None, None, None, None))
+            if tag == "div" and card_class in cls.split(" "):
+                cards[pos] = [False, pos, None, None, None, None, None]
+            if scope == card:
+                entry = cards[scope_pos]
+                if entry[3] is None and rate_class in cls.split(" "):
+                    entry[3:5] = pos, text
+                if entry[5] is None and tag == "strong" and price_class in (parent_cls or "").split(" "):
+                    entry[5:7] = pos, text
+        return [*ids, *cards.values()]
+
+    entries = H.page_rows(pages, pick, pa.schema([
+        ("is_id", pa.bool_()), ("key", pa.int32()), ("id", pa.string()), ("rate_pos", pa.int32()), ("rate", pa.string()),
+        ("price_pos", pa.int32()), ("price", pa.string())]), scopes=[card], keep_tags=["div", "span", "strong", "a"])
+    wanted = F.col("page_id").isNotNull() & (~F.col("is_id") | F.col("id").rlike("^[0-9]+$"))
+    found = entries.where(wanted).groupBy("page_id", "is_id", "key", "id").agg(      # a page may be there several times
+        F.count(F.lit(1)).alias("n"), F.min_by("rate", "rate_pos").alias("rate"), F.min_by("price", "price_pos").alias("price"))
+    # ids and cards are dealt by page once: numbered there, then the pairs of a number put together
+    found = found.repartition("page_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    numbered = found.withColumn("i", F.row_number().over(Window.partitionBy("page_id", "is_id").orderBy("key", "id")))
+    is_card = ~F.col("is_id")
+    pairs = numbered.groupBy("page_id", "i").agg(
+        F.max(F.when(F.col("is_id"), F.col("id"))).alias("kok_product_id"), F.bool_or(is_card).alias("_card"),
+        F.max(F.when(is_card, F.col("rate"))).alias("rate"), F.max(F.when(is_card, F.col("price"))).alias("price"))
     p = F.replace(F.col("price"), F.lit(","), F.lit(""))
-    return ids.join(c, ["page_id", "i"]).select(
+    return pairs.where(F.col("_card") & F.col("kok_product_id").isNotNull()).select(
         "page_id", "i", "kok_product_id", F.col("rate").alias("kok_discount_rate"),
         F.when(p.rlike("^[0-9]+$"), p.cast("bigint")).alias("kok_discounted_price"),
         p.alias("price_text"))
