@@ -38,21 +38,23 @@ def flatten_schedule(payloads: DataFrame, json_col: str = "payload", channel: st
     characters is NULL."""
     parsed = payloads.select(F.col(channel).alias("homeshopping_id"), F.from_json(json_col, PAYLOAD).alias("p"))
     mains = parsed.select("homeshopping_id", F.explode("p.respData.broadItemList").alias("i"))
-    subs = mains.select("homeshopping_id", F.explode("i.withItemList").alias("i"))
-
-    def rows(items: DataFrame, kind: str, date: Column, joint: str, image: str, template: str) -> DataFrame:
-        pid = F.coalesce("i.slitmCd", F.lit("0"))
-        thumb = id_url_template(pid, template, after_first_dot(_text(image)))
-        return items.select(
-            "homeshopping_id", date.alias("live_date"),
-            F.concat(_text("i.brodStrtDtm"), F.lit(joint), _text("i.brodEndDtm")).alias("live_time"),
-            F.lit(kind).alias("promotion_type"), _text("i.prmoTxtCntn").alias("live_title"), pid.alias("product_id"),
-            _text("i.slitmNm").alias("product_name"), _text("i.sellPrc").alias("sale_price"), _text("i.bbprc").alias("dc_price"),
-            _text("i.copnRate").alias("dc_rate"), F.when(F.length(pid) >= 8, thumb).alias("thumb_img_url"))
-
+    # a main item and its sub items are the rows of one list, so that a payload is made and read once
+    own = F.struct(*[F.col(f"i.{c.split()[0]}") for c in _ITEM.split(", ")])
+    subs = F.coalesce("i.withItemList", F.array().cast(f"array<struct<{_ITEM.replace(' string', ': string')}>>"))
     new_date = F.coalesce(F.nullif(F.col("i.newBrodDt"), F.lit("")), F.col("i.brodDt"), F.lit(""))
-    return rows(mains, "main", new_date, "~", "i.brodImgNm", main_thumb).unionByName(
-        rows(subs, "sub", _text("i.brodDt"), " ~ ", "i.thumImgNm", sub_thumb))
+    items = mains.select("homeshopping_id", new_date.alias("_date"), F.posexplode(F.concat(F.array(own), subs)).alias("_at", "i"))
+    is_main = F.col("_at") == 0
+
+    pid = F.coalesce("i.slitmCd", F.lit("0"))
+    thumb = F.when(is_main, id_url_template(pid, main_thumb, after_first_dot(_text("i.brodImgNm")))) \
+        .otherwise(id_url_template(pid, sub_thumb, after_first_dot(_text("i.thumImgNm"))))
+    return items.select(
+        "homeshopping_id", F.when(is_main, F.col("_date")).otherwise(_text("i.brodDt")).alias("live_date"),
+        F.concat(_text("i.brodStrtDtm"), F.when(is_main, F.lit("~")).otherwise(F.lit(" ~ ")), _text("i.brodEndDtm")).alias("live_time"),
+        F.when(is_main, F.lit("main")).otherwise(F.lit("sub")).alias("promotion_type"), _text("i.prmoTxtCntn").alias("live_title"),
+        pid.alias("product_id"), _text("i.slitmNm").alias("product_name"), _text("i.sellPrc").alias("sale_price"),
+        _text("i.bbprc").alias("dc_price"), _text("i.copnRate").alias("dc_rate"),
+        F.when(F.length(pid) >= 8, thumb).alias("thumb_img_url"))
 
 
 def flatten_programmes(payloads: DataFrame, json_col: str = "payload", price_col: str = "prices",

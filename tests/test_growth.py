@@ -3,7 +3,7 @@
 import random
 
 from sparkmart.operators import html as H
-from sparkmart.plans import html_jobs
+from sparkmart.plans import html_jobs, schedule_json
 from tests.test_page_parse import BITS
 
 
@@ -35,3 +35,17 @@ def test_price_cards_of_repeated_null_and_odd_pages(spark):
         (1, 1, "7", *full), (1, 2, "8", *bare),
         (2, 1, "7", *full), (2, 2, "7", *full), (2, 3, "8", *bare), (2, 4, "8", *bare)]
     assert _plan(got).count("MapInArrow") == 1 and "Join" not in _plan(got)      # the pages are parsed once and not joined
+
+
+def test_schedule_payload_is_read_once(spark):
+    payloads = ['{"respData":{"broadItemList":[{"slitmCd":"1234567890","brodDt":"20240101","newBrodDt":"","brodImgNm":"a.b.png","withItemList":'
+                '[{"slitmCd":"12345678","brodDt":"20240102","thumImgNm":"x.jpg"},null]},{"withItemList":null},null]}}', "{}", "broken", None]
+    df = spark.createDataFrame([(1, p) for p in payloads], "homeshopping_id int, payload string")
+    got = schedule_json.flatten_schedule(df)
+    rows = sorted((r.promotion_type, r.product_id, r.live_date, r.live_time, r.thumb_img_url or "") for r in got.collect())
+    assert rows == [
+        ("main", "0", "", "~", ""), ("main", "0", "", "~", ""),
+        ("main", "1234567890", "20240101", "~", "https://image.example.com/static/8/7/56/34/onair1234567890.b.png?AR=0&SF=webp"),
+        ("sub", "0", "", " ~ ", ""),
+        ("sub", "12345678", "20240102", " ~ ", "https://image.example.com/static/8/7/56/34/12345678_0.jpg?RS=125x125&AR=0&SF=webp")]
+    assert "Union" not in _plan(got)
