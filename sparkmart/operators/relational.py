@@ -41,13 +41,15 @@ def _order_struct(order_by: Sequence) -> Column:
     return F.struct(*parts)
 
 
-def first_wins(df: DataFrame, keys: str | Sequence[str], order_by: Sequence) -> DataFrame:
+def first_wins(df: DataFrame, keys: str | Sequence[str], order_by: Sequence, count: str | None = None) -> DataFrame:
     """Keep, per key, the row that is first in ``order_by`` (ascending; wrap a
     column in ``F.desc``-free negation or pass an expression for descending).
 
     Implemented as ``min_by(struct(row), struct(order))`` per key: partial
-    aggregation runs before the shuffle, so skewed keys are pre-reduced.
+    aggregation runs before the shuffle, so skewed keys are pre-reduced. Where
+    the order names every column, the least order is the row and travels once.
     Rows whose key has a NULL part are all kept (NULL never conflicts).
+    ``count`` names a column for the number of rows that had the key.
     """
     keys = _cols(keys)
     some_null = F.lit(False)
@@ -56,10 +58,17 @@ def first_wins(df: DataFrame, keys: str | Sequence[str], order_by: Sequence) ->
     # one branch: a row with an open key gets a filler of its own, so it meets no other
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     filler = F.when(some_null, F.monotonically_increasing_id()).alias("_open")
+    n = [] if count is None else [F.count(F.lit(1)).alias(count)]
+    kept = [] if count is None else [count]
+    by_key = [f"_k{i}" for i in range(len(keys))] + ["_open"]
+    if all(isinstance(o, str) for o in order_by) and sorted(order_by) == sorted(df.columns):
+        whole = df.select(*named, filler, F.struct(*order_by).alias("_row"))
+        best = whole.groupBy(*by_key).agg(F.min("_row").alias("_r"), *n)
+        return best.select(*[F.col(f"_r.{c}").alias(c) for c in df.columns], *kept)
     row = F.struct(*[F.col(c) for c in df.columns])
     keyed = df.select(*named, filler, row.alias("_row"), _order_struct(order_by).alias("_order"))
-    best = keyed.groupBy(*[f"_k{i}" for i in range(len(keys))], "_open").agg(F.min_by("_row", "_order").alias("_r"))
-    return best.select("_r.*")
+    best = keyed.groupBy(*by_key).agg(F.min_by("_row", "_order").alias("_r"), *n)
+    return best.select("_r.*", *kept)
 
 
 def keys_distinct(df: DataFrame, keys: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:

@@ -127,9 +127,14 @@ def q_snk_append_rejects(spark, d):
         "not_null:l_partkey": F.col("l_partkey").isNull(),
         "enum:l_returnflag": ~F.col("l_returnflag").isin("R", "A", "N"),
     })
-    valid = checked.filter(F.col("reject_reason").isNull())
-    winners = R.first_wins(valid, ["l_orderkey", "l_linenumber"], LINE_ORDER + ["l_partkey"])
-    losers = valid.exceptAll(winners).withColumn("reject_reason", F.lit("duplicate_key"))
+    valid = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    key = ["l_orderkey", "l_linenumber"]
+    counted = R.first_wins(valid, key, LINE_ORDER + ["l_partkey"], count="n")
+    # every branch asks for the count, so one shuffle of the rows serves them all
+    winners, clashed = counted.where(F.col("n") > 0), counted.where(F.col("n") > 1).drop("n")
+    losers = valid.join(clashed.select(*key), key, "left_semi").select(*clashed.columns).exceptAll(clashed)
+    winners = winners.withColumn("reject_reason", F.lit(None).cast("string"))
+    losers = losers.withColumn("reject_reason", F.lit("duplicate_key"))
     cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "reject_reason"]
     return (checked.filter(F.col("reject_reason").isNotNull()).select(*cols)
             .unionByName(winners.select(*cols)).unionByName(losers.select(*cols)))

@@ -2,7 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from sparkmart.operators import html as H
+from sparkmart.operators import relational as R
 from sparkmart.plans import html_jobs, schedule_json
 from tests.test_page_parse import BITS
 
@@ -49,3 +52,13 @@ def test_schedule_payload_is_read_once(spark):
         ("sub", "0", "", " ~ ", ""),
         ("sub", "12345678", "20240102", " ~ ", "https://image.example.com/static/8/7/56/34/12345678_0.jpg?RS=125x125&AR=0&SF=webp")]
     assert "Union" not in _plan(got)
+
+
+def test_first_row_of_all_columns_travels_once_and_is_counted(spark):
+    rows = [(1, "b", 2.0), (1, "a", 3.0), (1, "a", 3.0), (2, None, 1.0), (None, "c", 1.0), (None, "c", 1.0)]
+    df = spark.createDataFrame(rows, "k int, s string, x double")
+    for order in (["s", "x", "k"], ["s", F.col("x")]):
+        got = R.first_wins(df, "k", order, count="n")
+        assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(
+            [(1, "a", 3.0, 3), (2, None, 1.0, 1), (None, "c", 1.0, 1), (None, "c", 1.0, 1)], key=str)
+    assert "min_by" not in _plan(R.first_wins(df, "k", ["s", "x", "k"]))
