@@ -127,7 +127,9 @@ class _NodeParser(HTMLParser):
 
 # a page of these tokens only means the same to every HTML parser
 _ATTRIBUTE = r'[ \t\n\r\f]+[A-Za-z][A-Za-z0-9_-]*="[^"<>&]*"'
-_TOKEN = re.compile(rf'<(?:/([a-z][a-z0-9]*)|([a-z][a-z0-9]*)((?:{_ATTRIBUTE})*)[ \t\n\r\f]*/?|!(?i:doctype) [^<>]*)>|([^<]+)|(<)')
+# (start tag with its attributes, end tag or doctype, the text behind it); a "<" that begins no such token is one of three blanks
+_TOKEN = re.compile(rf'<(?:([a-z][a-z0-9]*(?:{_ATTRIBUTE})*[ \t\n\r\f]*/?)|(/[a-z][a-z0-9]*|!(?i:doctype) [^<>]*))>([^<]*)|<')
+_TAG_NAME = re.compile("[a-z][a-z0-9]*")
 _NAME_VALUE = re.compile(r'\s+([^=]+)="([^"]*)"')
 _RAW_TEXT = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
 
@@ -141,46 +143,51 @@ def _plain_nodes(html: str, nodes: _Nodes, known: dict) -> list[list] | None:
     what start tags, as they are written, were found to be."""
     rows, stack, texts, pos, raw = [], [], [], 0, None
     cls = scope = scope_pos = None                # of the innermost open element
-    for end, tag, attrs, text, loose in _TOKEN.findall(html):
-        if text:
-            text = (unescape(text) if "&" in text else text).strip()
-            if text:
-                texts.append(text)
-            continue
-        if loose or raw is not None and end != raw:      # raw text ends with its own end tag only
-            return None
-        if tag:
-            found = known.get((tag, attrs))
+    at = html.find("<")
+    before = unescape(html if at < 0 else html[:at]).strip()
+    if before:
+        texts.append(before)
+    for start, end, text in _TOKEN.findall(html):
+        if raw is not None:
+            if end != raw:      # raw text ends with its own end tag only
+                return None
+            raw = None
+        if start:
+            found = known.get(start)
             if found is None:
+                tag = _TAG_NAME.match(start).group()
                 if tag in ("script", "style", "plaintext"):      # their text is not unescaped
                     return None
-                found = nodes.described(tag, {k.lower(): v for k, v in _NAME_VALUE.findall(attrs)} if attrs else {})
-                found = (*found, tag in _VOID, tag if tag in _RAW_TEXT else None)
+                found = nodes.described(tag, {k.lower(): v for k, v in _NAME_VALUE.findall(start)})
+                found = (tag, *found, None if tag in _VOID else "/" + tag, "/" + tag if tag in _RAW_TEXT else None)
                 if len(known) >= KNOWN_TAGS:
                     known.clear()
-                known[tag, attrs] = found
-            of_tag, own_cls, own, kept, void, raw = found
+                known[start] = found
+            tag, attrs, own_cls, own, kept, its_end, raw = found
             pos += 1
             row = None
             if kept:
-                row = [pos, tag, own_cls, of_tag, None, scope, scope_pos, cls]
+                row = [pos, tag, own_cls, attrs, None, scope, scope_pos, cls]
                 rows.append(row)
-            if not void:
-                stack.append((tag, row, len(texts), cls, scope, scope_pos))
+            if its_end:
+                stack.append((its_end, row, len(texts), cls, scope, scope_pos))
                 cls = own_cls
                 if own is not None:
                     scope, scope_pos = own, pos
         elif end:
-            raw = None
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == end:
+                    while len(stack) > i:
+                        _, row, first, cls, scope, scope_pos = stack.pop()
+                        if row is not None:
+                            row[4] = "".join(texts[first:])
                     break
-            else:
-                continue
-            while len(stack) > i:
-                _, row, first, cls, scope, scope_pos = stack.pop()
-                if row is not None:
-                    row[4] = "".join(texts[first:])
+        else:
+            return None
+        if text:
+            text = (unescape(text) if "&" in text else text).strip()
+            if text:
+                texts.append(text)
     if raw is not None:
         return None
     for _, row, first, *_ in stack:

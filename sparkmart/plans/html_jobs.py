@@ -99,10 +99,10 @@ def price_cards(pages: DataFrame, card_class: str = "product-section-ul-li", rat
         ("is_id", pa.bool_()), ("key", pa.int32()), ("id", pa.string()), ("rate_pos", pa.int32()), ("rate", pa.string()),
         ("price_pos", pa.int32()), ("price", pa.string())]), scopes=[card], keep_tags=["div", "span", "strong", "a"])
     wanted = F.col("page_id").isNotNull() & (~F.col("is_id") | F.col("id").rlike("^[0-9]+$"))
-    found = entries.where(wanted).groupBy("page_id", "is_id", "key", "id").agg(      # a page may be there several times
+    # dealt by page once: put together (a page may be there several times), numbered, and the pairs of a number joined
+    found = entries.where(wanted).repartition("page_id").groupBy("page_id", "is_id", "key", "id").agg(
         F.count(F.lit(1)).alias("n"), F.min_by("rate", "rate_pos").alias("rate"), F.min_by("price", "price_pos").alias("price"))
-    # ids and cards are dealt by page once: numbered there, then the pairs of a number put together
-    found = found.repartition("page_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     numbered = found.withColumn("i", F.row_number().over(Window.partitionBy("page_id", "is_id").orderBy("key", "id")))
     is_card = ~F.col("is_id")
     pairs = numbered.groupBy("page_id", "i").agg(
