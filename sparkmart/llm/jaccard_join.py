@@ -201,9 +201,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     heads = banded.groupBy("band", "h").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
     ties = banded.join(heads, ["band", "h"]).groupBy("node").agg(F.collect_set("head").alias("heads"))  # one per band at most
     # a node is tied to the least of its heads, and so is each of its heads: the same components with few edges
-    least = F.array_min("heads")
-    star = ties.select(F.col("node").alias("a"), least.alias("b")).unionAll(
-        ties.select(F.explode("heads").alias("a"), least.alias("b")).distinct())
+    star = ties.select(F.explode(F.array_union(F.array("node"), "heads")).alias("a"), F.array_min("heads").alias("b"))
     comp = components(star).withColumnRenamed("label", "comp")
     # 3. verification in square blocks
     blocks = comp.groupBy("comp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
@@ -220,13 +218,16 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
         (F.col("mine") <= F.col("other")).cast("int").alias("side"), "n_copies", "grams")
     members = members.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
     met = written(_verify(members, threshold), "links")
-    links = met.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
-    # 4. classes of verified links
+    # 4. classes of verified links; what is known of a node meets in one aggregate
     label = components(met.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    classed = (nodes.join(label, "node", "left").join(links, "node", "left")
-               .select("set_id", "n_copies", "least_id", F.coalesce("label", "node").alias("label"),
-                       F.coalesce("texts", F.lit(0)).alias("n_text_links"),
-                       (F.coalesce("docs", F.lit(0)) + F.col("n_copies") - 1).alias("n_links")))
+    known = (nodes.select("node", "set_id", "n_copies", "least_id").unionByName(label, allowMissingColumns=True)
+             .unionByName(met.select("node", "texts", "docs"), allowMissingColumns=True))
+    classed = known.groupBy("node").agg(
+        F.max("set_id").alias("set_id"), F.max("n_copies").alias("n_copies"), F.min("least_id").alias("least_id"),
+        F.max("label").alias("label"), F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
+    classed = classed.select("set_id", "n_copies", "least_id", F.coalesce("label", "node").alias("label"),
+                             F.coalesce("texts", F.lit(0)).alias("n_text_links"),
+                             (F.coalesce("docs", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"))
     least = classed.groupBy("label").agg(F.min("least_id").alias("class_id"))
     classed = classed.join(least, "label").drop("label", "least_id")
     return signed.select("row_key", "doc_id", "set_id").join(classed, "set_id").select(

@@ -27,10 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import map_arrow
+from sparkmart.llm.common import map_arrow, release_memory
 from sparkmart.llm.language_id import sample_rows
 
 BUCKETS = 1 << 18
@@ -147,9 +148,16 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
         return {"doc_id": cols["doc_id"], "label": cols["label"],
                 "idx": [[x for s in b for x in s] for b in bags], "len": [[len(s) for s in b] for b in bags]}
 
-    got = map_arrow(rows, run, "doc_id bigint, label int, idx array<int>, len array<int>").toArrow().combine_chunks()
+    model = _learnt(map_arrow(rows, run, "doc_id bigint, label int, idx array<int>, len array<int>").toArrow())
+    release_memory()
+    return model
+
+
+def _learnt(got: pa.Table) -> Model | None:
+    """Train on the gathered sample (doc_id, label, idx, len)."""
     if not got.num_rows:
         return None
+    got = got.combine_chunks()
     idx, lens = got.column("idx").chunk(0), got.column("len").chunk(0)
     labels = got.column("label").to_numpy()
     order = np.lexsort((labels, got.column("doc_id").to_numpy()))   # the same whatever the partitions
