@@ -55,3 +55,18 @@ def test_model_features_are_places_in_the_vocabularies_of_the_fitted_rows(spark)
         assert {vocabs[0][i] for i in np.flatnonzero(x[:7])} == set(vocabs[0]) & set(terms)
         assert {vocabs[1][i] for i in np.flatnonzero(x[7:14])} == set(vocabs[1]) & set(char_grams(r["norm_text"].lower(), 2, 3))
         assert np.linalg.norm(x[:7]) == 0 or abs(np.linalg.norm(x[:7]) - 1) < 1e-9
+
+
+def test_tfidf_of_a_large_vocabulary_joins_nothing_and_equals_the_small_one(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS * 3)] + [(0, "apple tart"), (None, "pear pie")], "id int, text string")
+
+    def weights():
+        return TF.tfidf(TF.word_terms(df, "id", "text", (1, 2)), "id", F.lit(len(TEXTS) * 3 + 2), 2)
+
+    small = {tuple(r)[:4]: tuple(r)[4:] for r in weights().collect()}
+    monkeypatch.setattr(TF, "BROADCAST_TERMS", 3)
+    large = weights()
+    got = {tuple(r)[:4]: tuple(r)[4:] for r in large.collect()}
+    assert len(small) > 20 and got.keys() == small.keys()
+    assert all(math.isclose(x, y, rel_tol=1e-12) for k in got for x, y in zip(got[k], small[k]))
+    assert "Join" not in large._jdf.queryExecution().optimizedPlan().toString()
